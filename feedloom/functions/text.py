@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The 29 white-space characters of str.strip, as a regex class (fixed values).
-PYWS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+PYWS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Characters that take no room and separate nothing: soft hyphen, zero-width marks, BOM.
-INVISIBLE = r"[­​-‏⁠﻿]"
+INVISIBLE = r"[\u00ad\u200b-\u200f\u2060\ufeff]"
 
 
 def col(c: str | Column) -> Column:
