@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for m in _NAMES for k, v in import_module(f"feedloom.llm.{m}").SQL.items()}
+    return {k: v for m in _NAMES for k, v in getattr(import_module(f"feedloom.llm.{m}"), "SQL", {}).items()}
