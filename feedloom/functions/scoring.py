@@ -71,10 +71,15 @@ def relevance(title: str | Column, body: str | Column, terms: list[Term]) -> Col
     text = F.lower(F.concat(col(title), F.lit(" "), col(body)))
     tokens = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({TOKEN})"), F.lit(1)))
 
-    def hit(t: Column) -> Column:
-        prefix = F.exists(tokens, lambda w: F.startswith(w, t["needle"]))
-        return F.when(t["kind"] == "phrase", F.contains(py_ws(text), t["needle"])).when(t["kind"] == "prefix", prefix).otherwise(F.array_contains(tokens, t["needle"]))
+    def scored(doc: Column) -> Column:
+        def hit(t: Column) -> Column:
+            prefix = F.exists(doc["tokens"], lambda w: F.startswith(w, t["needle"]))
+            return F.when(t["kind"] == "phrase", F.contains(doc["text"], t["needle"])).when(t["kind"] == "prefix", prefix).otherwise(F.array_contains(doc["tokens"], t["needle"]))
 
-    hits = F.filter(lit, hit)
-    score = F.aggregate(hits, F.lit(0).cast("long"), lambda a, t: a + t["weight"])
-    return F.struct(score.alias("score"), F.array_sort(F.transform(hits, lambda t: t["text"])).alias("keywords"))
+        def summed(h: Column) -> Column:
+            return F.struct(F.aggregate(h, F.lit(0).cast("long"), lambda a, t: a + t["weight"]).alias("score"), F.array_sort(F.transform(h, lambda t: t["text"])).alias("keywords"))
+
+        return F.get(F.transform(F.array(F.filter(lit, hit)), summed), F.lit(0))
+
+    # Lambda variables are computed once: the text and its tokens per document, the hits per document.
+    return F.get(F.transform(F.array(F.struct(py_ws(text).alias("text"), tokens.alias("tokens"))), scored), F.lit(0))

@@ -74,7 +74,9 @@ def gated(items: DataFrame, terms: Sequence[Term], *, min_chars: int, min_score:
     """
     df = items.withColumns({c: py_strip(c) for c in ITEM_FIELDS}).withColumn("__body", body_text("content_text", "summary"))
     whole = F.forall(F.array(*[F.col(c) for c in ITEM_FIELDS]), lambda x: x.isNotNull() & (x != ""))
-    df = df.withColumns({"__whole": whole, "__r": relevance(F.coalesce("title", F.lit("")), "__body", list(terms))})
+    df = df.withColumn("__whole", whole)
+    # As a generator's output the score is computed once: filters on it are not pushed below and repeat it.
+    df = df.select("*", F.explode(F.array(relevance(F.coalesce("title", F.lit("")), "__body", list(terms)))).alias("__r"))
     score = F.col("__r.score")
     letter = F.col("source_type") == "newsletter"
     known = F.lower(py_strip("source_id")).isin(*trusted) if trusted else F.lit(False)
