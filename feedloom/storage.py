@@ -6,6 +6,7 @@ Everything that must outlive an executor goes to the folder the cluster names in
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -29,14 +30,35 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and forget its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a table in the shared folder and forget its lineage.
+
+    A written table is computed once, is compressed and read by column; an eager checkpoint would
+    compute its last stage twice.
+    """
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder, for written tables."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in this application's part of the shared folder, which goes when Python ends."""
+    own = f"{shared_dir(spark).rstrip('/')}/feedloom-{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        _OWN.add(own)
+        atexit.register(_remove, spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_OWN: set[str] = set()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session may have ended already
+        pass
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
