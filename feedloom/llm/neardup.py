@@ -169,18 +169,17 @@ def links(texts: DataFrame) -> DataFrame:
     """(a, b), a < b: the classes whose texts are linked. ``texts(cls, text)``, one row per class."""
     spark = texts.sparkSession
     path = storage.scratch(spark, "signatures")
-    signatures(texts).write.parquet(path)
+    # Small running numbers shuffle better than class codes, and 40 bits of a band's hash are enough.
+    signatures(texts).withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
     sig = spark.read.parquet(path)
-    rows = sig.select("cls", F.posexplode("band").alias("p", "v")).select(F.xxhash64("p", "v").alias("v"), "cls")
-    # Buckets of one text are dropped before any pair is made; large buckets are fine: sort-merge
-    # joins stream them, and AQE splits skewed ones.
-    pairs = rows.alias("x").join(rows.alias("y"), "v").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    light = sig.select("cls", "n", "bits", "pivots")
-    left = light.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"), F.col("pivots").alias("pa"))
-    right = light.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"), F.col("pivots").alias("pb"))
-    kept = discard(pairs.join(left, "a").join(right, "b")).where("stage = 2").select("a", "b")
-    kept = storage.cut(kept)
-    return verify(kept, texts)
+    rows = sig.select("id", F.posexplode("band").alias("p", "v")).select(F.shiftleft(F.col("p").cast("long"), 40).bitwiseOR(F.col("v").bitwiseAND(F.lit(2**40 - 1))).alias("v"), "id")
+    # Large buckets are fine: sort-merge joins stream them, and AQE splits skewed ones.
+    pairs = rows.alias("x").join(rows.alias("y"), "v").where("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    light = sig.select("id", "cls", "n", "bits", "pivots")
+    left = light.select(F.col("id").alias("a"), F.col("cls").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("xa"), F.col("pivots").alias("pa"))
+    right = light.select(F.col("id").alias("b"), F.col("cls").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("xb"), F.col("pivots").alias("pb"))
+    kept = discard(pairs.join(left, "a").join(right, "b")).where("stage = 2").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+    return verify(storage.cut(kept), texts)
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
