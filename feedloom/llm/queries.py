@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 _NAMES = {
     "capping": ["p1_found"],
     "neardup": ["p2_found", "p2_groups"],
-    "boilerplate": ["p3_found", "p3_articles"],
+    "boilerplate": ["p3_found", "p3_articles", "p3_slots"],
     "proportions": ["p4_found", "p4_sample", "p4_report"],
     "history": ["p5_found"],
     "packing": ["p6_found", "p6_packed", "p6_report"],
