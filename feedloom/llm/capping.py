@@ -121,8 +121,8 @@ def cap_contributors(df: DataFrame, group: list[str], levels: dict[str, Column],
     work = work.withColumns({k: F.coalesce(c, least) for k, c in zip(keys, ids, strict=True)})
     unique = work.select(*group, *names, *keys).distinct()
     cut = cutoffs(unique, group, [*names, *keys], limit)
-    c = cut.select(*[F.col(g).alias(f"__g_{g}") for g in group], "cut")
-    kept = work.join(c, [work[g].eqNullSafe(c[f"__g_{g}"]) for g in group]).where(F.slice(F.array(*names, *keys), F.lit(1), F.size("cut")) >= F.col("cut"))
+    c = cut.select(*[F.col(g).alias(f"__g_{g}") for g in group], F.col("cut").alias("__cut"))
+    kept = work.join(c, [work[g].eqNullSafe(c[f"__g_{g}"]) for g in group]).where(F.slice(F.array(*names, *keys), F.lit(1), F.size("__cut")) >= F.col("__cut"))
     return kept.select(*df.columns)
 
 

@@ -34,15 +34,15 @@ WORDS = re.compile(r"[^\W_]+")
 N = 3
 LEAST_WORDS = 40
 SIMILARITY = 0.5
-BANDS, ROWS = 64, 5
+BANDS, ROWS = 80, 5
 BITS, PIVOTS = 512, 32
 #: Copies per pair of classes up to which all pairs of items are written out; beyond, they are linked
 #: through the classes' representatives, which loses no link.
 COPIES = 64
 
 _rng = np.random.default_rng(20240501)
-_A = (_rng.integers(1, 2**31, BANDS * ROWS, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-_B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.int64).astype(np.uint64)
+_A = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.int64).astype(np.uint32) | np.uint32(1)
+_B = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.int64).astype(np.uint32)
 _MIX = _rng.integers(1, 2**63, (BANDS, ROWS), dtype=np.int64).astype(np.uint64) | np.uint64(1)
 
 
@@ -84,10 +84,11 @@ def sequences(ws: list[str]) -> np.ndarray:
 
 def minima(codes: np.ndarray) -> np.ndarray:
     """Least value of each hash function over the codes, in blocks of codes."""
-    out = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(codes), 2048):
-        np.minimum(out, (codes[None, at : at + 2048] * _A[:, None] + _B[:, None]).min(1), out=out)
-    return out
+    out = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
+    short = (codes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), 2048):
+        np.minimum(out, (short[None, at : at + 2048] * _A[:, None] + _B[:, None]).min(1), out=out)
+    return out.astype(np.uint64)
 
 
 def bands(codes: np.ndarray) -> np.ndarray:
