@@ -36,9 +36,11 @@ LEAST_WORDS = 40
 SIMILARITY = 0.5
 BANDS, ROWS = 80, 5
 BITS, PIVOTS = 512, 32
-#: Copies per pair of classes up to which all pairs of items are written out; beyond, they are linked
-#: through the classes' representatives, which loses no link.
+#: Copies per pair of classes up to which :func:`pairs_of_items` writes out all pairs of items; beyond, it
+#: links them through the classes' representatives.
 COPIES = 64
+#: Items of a class in one chunk, by which :func:`every_pair` deals out the pairs of large classes.
+CHUNK = 128
 
 _rng = np.random.default_rng(20240501)
 _A = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.int64).astype(np.uint32) | np.uint32(1)
@@ -162,7 +164,8 @@ def classes(items: DataFrame) -> DataFrame:
             out.append((len(ws) >= LEAST_WORDS, int.from_bytes(digest, "little", signed=True)))
         return pd.DataFrame(out, columns=["enough", "code"])
 
-    df = items.where("item_id IS NOT NULL AND content_text IS NOT NULL").select("item_id", "content_text").withColumn("c", code("content_text"))
+    # A deterministic function would be pushed into the filter and computed twice a row.
+    df = items.where("item_id IS NOT NULL AND content_text IS NOT NULL").select("item_id", "content_text").withColumn("c", code.asNondeterministic()("content_text"))
     return df.where("c.enough").select("item_id", F.col("c.code").alias("cls"), F.col("content_text").alias("text"))
 
 
@@ -216,8 +219,9 @@ def linked_classes(items: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def pairs_of_items(member: DataFrame, link: DataFrame) -> DataFrame:
-    """(item_id_a, item_id_b): linked items. Copies are written out up to COPIES per pair of classes;
-    larger classes are linked copy by copy to their representative, the least item_id."""
+    """(item_id_a, item_id_b): a short form of the links. Copies are written out up to COPIES per pair of
+    classes; larger classes are linked copy by copy to their representative, the least item_id. All pairs
+    are those of :func:`every_pair`."""
     size = member.groupBy("cls").agg(F.count("*").alias("n"), F.min("item_id").alias("rep"))
     m = member.join(size, "cls")
     small = m.where(F.col("n") * F.col("n") <= COPIES * COPIES)
@@ -232,8 +236,48 @@ def pairs_of_items(member: DataFrame, link: DataFrame) -> DataFrame:
     return every.select(F.least("p", "q").alias("item_id_a"), F.greatest("p", "q").alias("item_id_b")).distinct()
 
 
+def every_pair(member: DataFrame, link: DataFrame) -> DataFrame:
+    """(item_id_a, item_id_b): all pairs of different items in one class or in two linked ones.
+
+    Classes are dealt into chunks of about CHUNK items, and pairs of chunks over the partitions, so a
+    class of any size is written out by all cores. Only items in several classes (rows of one id with
+    different texts) can give a pair twice, and only chunks of such are made distinct.
+    """
+    size = member.groupBy("cls").agg(F.count("*").alias("n"))
+    linked = link.select(F.explode(F.array("a", "b")).alias("cls")).distinct().withColumn("linked", F.lit(True))
+    busy = size.join(linked, "cls", "left").where("n > 1 OR linked").select("cls", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
+    m = storage.cut(member.join(busy, "cls"))
+    many = m.groupBy("item_id").agg(F.count("*").alias("n")).where("n > 1").select("item_id", F.lit(True).alias("many"))
+    m = m.join(many, "item_id", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    # Running numbers would sort a class in one task; a hash fills the chunks about evenly.
+    m = m.withColumn("chunk", F.pmod(F.xxhash64("item_id"), F.col("parts")).cast("int"))
+    chunks = storage.cut(m.groupBy("cls", "many", "chunk").agg(F.collect_list("item_id").alias("ids")))
+    ends = chunks.select("cls", "many", "chunk", F.size("ids").alias("n"))
+
+    def end(side: str, n: str) -> DataFrame:
+        return ends.select(F.col("cls").alias(side), F.col("many").alias(f"m{side}"), F.col("chunk").alias(f"k{side}"), F.col("n").alias(n))
+
+    across = link.join(end("a", "na"), "a").join(end("b", "nb"), "b")
+    # Inside a class each two chunks meet once, and a chunk of several items itself.
+    inside = end("a", "na").withColumn("b", F.col("a")).join(end("b", "nb"), "b")
+    inside = inside.where("struct(ma, ka) < struct(mb, kb) OR (ma = mb AND ka = kb AND na > 1)")
+    columns = ["a", "ma", "ka", "b", "mb", "kb"]
+    blocks = storage.cut(across.select(columns).unionByName(inside.select(columns)))
+
+    def expand(some: DataFrame) -> DataFrame:
+        x = some.join(chunks.select(F.col("cls").alias("a"), F.col("many").alias("ma"), F.col("chunk").alias("ka"), F.col("ids").alias("p")), ["a", "ma", "ka"])
+        x = x.join(chunks.select(F.col("cls").alias("b"), F.col("many").alias("mb"), F.col("chunk").alias("kb"), F.col("ids").alias("q")), ["b", "mb", "kb"])
+        # Blocks of one chunk come together by the joins: deal them out again.
+        x = x.repartition("a", "ma", "ka", "b", "mb", "kb")
+        same = (F.col("a") == F.col("b")) & (F.col("ma") == F.col("mb")) & (F.col("ka") == F.col("kb"))
+        x = x.select(same.alias("same"), "q", F.explode("p").alias("p")).select("same", "p", F.explode("q").alias("q"))
+        return x.where("p < q OR (p > q AND NOT same)").select(F.least("p", "q").alias("item_id_a"), F.greatest("p", "q").alias("item_id_b"))
+
+    return expand(blocks.where("NOT ma AND NOT mb")).unionByName(expand(blocks.where("ma OR mb")).distinct())
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return pairs_of_items(*linked_classes(storage.table(spark, d, "items").select("item_id", "content_text")))
+    return every_pair(*linked_classes(storage.table(spark, d, "items").select("item_id", "content_text")))
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

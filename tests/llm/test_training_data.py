@@ -81,6 +81,28 @@ def test_large_groups_of_copies_keep_their_links(spark):
     assert len({find(v) for v in parent}) == 1 and len(parent) == n + 1 and len(got) == n
 
 
+def test_every_pair_of_large_linked_classes(spark):
+    sizes = {1: neardup.COPIES + 5, 2: 9, 3: 8, 4: 1, 5: 2 * neardup.CHUNK + 40}
+    rows = [(f"{c}-{i:03d}", c) for c, n in sizes.items() for i in range(n)]
+    rows += [("1-000", 2), ("2-000", 3), ("both", 3), ("both", 5)]  # ids with several texts
+    links = {(1, 4), (2, 3), (3, 5)}
+    got = [tuple(r) for r in neardup.every_pair(spark.createDataFrame(rows, "item_id string, cls long"), spark.createDataFrame(sorted(links), "a long, b long")).collect()]
+    of = {c: {i for i, k in rows if k == c} for c in sizes}
+    want = {(min(p, q), max(p, q)) for a, b in links | {(c, c) for c in sizes} for p in of[a] for q in of[b] if p != q}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_p2_found_writes_out_all_copies(spark, tmp_path):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    texts = {"a": (9, " ".join(words)), "b": (8, " ".join([*words[:-4], "other", "end", "of", "it"]))}
+    rows = [(f"{k}{i}", t.upper() if i % 2 else t) for k, (n, t) in texts.items() for i in range(n)]
+    spark.createDataFrame(rows, "item_id string, content_text string").write.parquet(str(tmp_path / "items.parquet"))
+    got = [tuple(r) for r in neardup.p2_found(spark, str(tmp_path)).collect()]
+    ids = sorted(i for i, _ in rows)
+    assert sorted(got) == [(p, q) for p in ids for q in ids if p < q]
+
+
 def test_components(spark):
     nodes = spark.createDataFrame([(i,) for i in range(12)], "cls long")
     edges = spark.createDataFrame([(i, i + 1) for i in range(8)] + [(9, 10)], "a long, b long")
