@@ -125,6 +125,19 @@ def test_page_furniture(spark):
     assert boilerplate.furniture(pages.limit(0)).count() == 0
 
 
+def test_slots_without_cues_are_furniture(spark):
+    towns = ["Oslo", "Bergen", "Lima", "Quito", "Turin", "Malmo"]
+    rows = []
+    for i, t in enumerate(towns):
+        lines = [f"Now brewing in {t} for our regulars only", f"A walk through {t}", f"The mill of {t} was closed early. Nobody from {t} minded that.", f"- take the bus from {t} to the sea", f"The tram to {t} ran late on that day."]
+        rows.append(("f", f"p{i}", "https://host.example/p/x", "\n".join(lines)))
+    # Lines of one page are no slot, and starts with ever other ends are headings.
+    rows.append(("f", "one", "https://host.example/p/y", "Pick red for the win\nPick blue for the win\nPick green for the win"))
+    pages = storage.cut(boilerplate.distinct_pages(spark.createDataFrame(rows, "field string, item_id string, url string, text string")))
+    out = boilerplate.furniture(pages).where("outside").join(pages, "page").select("item_id", "line_no").collect()
+    assert Counter(map(tuple, out)) == Counter((f"p{i}", 1) for i in range(len(towns)))
+
+
 # p4
 def test_pivotal_keeps_sums_and_probabilities():
     p = np.array([0.2, 0.5, 0.9, 1.0, 0.0, 0.4] * 5)
