@@ -76,14 +76,17 @@ def mixture(sized: DataFrame, targets: DataFrame, seed: int = 1) -> tuple[DataFr
     steps = spark.createDataFrame(plan, "source string, steps array<double>").groupBy("source").agg(F.max("steps").alias("steps"))
     drawn = sized.join(F.broadcast(steps), "source").withColumn("copies", F.size(F.filter("steps", lambda p: p < uniform("doc_id", "__row", seed=seed))))
     copies = drawn.where("copies > 0").select("doc_id", "source", "tokens", "__row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    order = ["position_key", "doc_id", "copy"]
     out = copies.withColumn("position_key", F.xxhash64(F.lit(seed + 1), "doc_id", "__row", "copy"))
-    used = copies.groupBy("source").agg(F.sum("tokens").alias("used"))
+    # Written once, so the report counts what was dealt and shuffled.
+    mixed = storage.cut(out.orderBy(order).drop("__row"))
+    used = mixed.groupBy("source").agg(F.sum("tokens").alias("used"))
     fixed = spark.createDataFrame([tuple(r.values()) for r in rows], report.schema)
     total = F.sum("used")
     full = fixed.join(used, "source", "left").withColumn("used", F.coalesce("used", F.lit(0)))
     share = full.agg(total.alias("t")).first()["t"] or 0
     full = full.select("source", "weight", "max_repeats", "available", "wanted", "short", "used", (F.col("used") / F.lit(float(max(share, 1)))).alias("actual_share"))
-    return out.orderBy("position_key", "doc_id", "copy").drop("__row"), full
+    return mixed.orderBy(order), full
 
 
 def sized_by_source(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +105,7 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return supply(sized_by_source(spark, d), storage.table(spark, d, "mix_targets")).where("short").select("source")
+    return p7_report(spark, d).where("short").select("source")
 
 
 SQL: dict[str, str] = {}

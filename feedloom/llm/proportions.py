@@ -170,7 +170,7 @@ def sample(items: DataFrame, targets: DataFrame, category: list[str], seed: int
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return gaps(members(spark, d), storage.table(spark, d, "sample_targets"), ["source_type", "source_id"]).where("short").select("source_type", "source_id")
+    return p4_report(spark, d).where("short").select("source_type", "source_id")
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:

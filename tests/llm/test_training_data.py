@@ -164,6 +164,16 @@ def test_sample_meets_targets_floors_and_gaps(spark):
     assert {x.supply for x in proportions.gaps(none, targets, ["source_type", "source_id"]).collect()} == {0}
 
 
+def test_p4_found_is_of_the_drawn_sample(spark, monkeypatch):
+    items = spark.createDataFrame([(f"a{i}", "t", "a") for i in range(30)] + [("b0", "t", "b")], "item_id string, source_type string, source_id string")
+    targets = spark.createDataFrame([("t", "a", 500000, 0, 20), ("t", "b", 500000, 2, 20)], "source_type string, source_id string, target_ppm int, min_count int, sample_size int")
+    dealt, draw = [], proportions.draw
+    monkeypatch.setattr(proportions, "members", lambda *_: items)
+    monkeypatch.setattr(storage, "table", lambda *_: targets)
+    monkeypatch.setattr(proportions, "draw", lambda *x: dealt.append(1) or draw(*x))
+    assert [tuple(r) for r in proportions.p4_found(spark, "").collect()] == [("t", "b")] and dealt
+
+
 # p5
 SOURCES = [("tidal_ops_1",), ("vt_lab_1",)]
 
@@ -266,6 +276,16 @@ def test_mixture_follows_weights_and_caps(spark):
     assert max(n for d, n in uses.items() if d < 5000) == 1 and max(uses.values()) <= 3 and 9000 not in uses
 
 
+def test_p7_found_is_of_the_dealt_mixture(spark, monkeypatch):
+    sized = spark.createDataFrame([(i, "a", 10, i) for i in range(50)] + [(99, "b", 10, 99)], "doc_id long, source string, tokens long, __row long")
+    targets = spark.createDataFrame([("a", 0.5, 2, 400), ("b", 0.5, 2, 400)], "source string, weight double, max_repeats int, budget_tokens long")
+    dealt, counts = [], mixing.cut_poisson
+    monkeypatch.setattr(mixing, "sized_by_source", lambda *_: sized)
+    monkeypatch.setattr(storage, "table", lambda *_: targets)
+    monkeypatch.setattr(mixing, "cut_poisson", lambda *x: dealt.append(1) or counts(*x))
+    assert [r.source for r in mixing.p7_found(spark, "").collect()] == ["b"] and dealt
+
+
 # p8
 def test_subjects_spread_to_unlabelled_texts(spark):
     law, sport = ["the barrister filed the statute", "a judge read the statute aloud", "the barrister met a judge"], ["the striker scored a goal", "a goal by the keeper", "the keeper saw the striker"]
