@@ -138,6 +138,14 @@ def test_slots_without_cues_are_furniture(spark):
     assert Counter(map(tuple, out)) == Counter((f"p{i}", 1) for i in range(len(towns)))
 
 
+def test_long_notices_are_furniture(spark):
+    notice = "This paper keeps a few facts on its readers. " * 8
+    rows = [("f", f"p{i}", "https://host.example/p/x", f"{notice.strip()}\nThe mill number {w} was closed early.\n{w} long line. " + f"Nobody from {w} minded that at all. " * 9) for i, w in enumerate(["one", "two", "red", "blue"])]
+    pages = storage.cut(boilerplate.distinct_pages(spark.createDataFrame(rows, "field string, item_id string, url string, text string")))
+    out = boilerplate.furniture(pages).where("outside").join(pages, "page").select("item_id", "line_no").collect()
+    assert len(notice) > boilerplate.LONGEST and Counter(map(tuple, out)) == Counter((f"p{i}", 1) for i in range(4))
+
+
 # p4
 def test_pivotal_keeps_sums_and_probabilities():
     p = np.array([0.2, 0.5, 0.9, 1.0, 0.0, 0.4] * 5)
