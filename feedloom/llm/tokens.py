@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from functools import lru_cache
 
 import pandas as pd
@@ -15,8 +16,9 @@ FOLDER = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: How that vocabulary splits text before merging (fixed value of the public tokenizer).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters encoded at once; a longer text is cut at white space, where no token can cross.
+#: Characters encoded at once, about; a longer text is cut where no token can cross.
 STEP = 200_000
+CUT = re.compile(r"(?<=\S) ")
 
 
 @lru_cache(maxsize=4)
@@ -29,15 +31,12 @@ def encoding(path: str):
 
 
 def pieces(text: str, step: int = STEP):
-    """The text in pieces of about ``step`` characters, cut before a blank between two words."""
+    """The text in pieces of ``step`` characters or more, each cut at the next blank after a character
+    that is none. There a token ends whatever follows; a text without such places stays whole."""
     at = 0
-    while len(text) - at > step:
-        end = at + step
-        while end > at + 1 and not (text[end] == " " and not text[end - 1].isspace()):
-            end -= 1
-        end = end if end > at + 1 else at + step
-        yield text[at:end]
-        at = end
+    while len(text) - at > step and (m := CUT.search(text, at + step)):
+        yield text[at : m.start()]
+        at = m.start()
     yield text[at:]
 
 
