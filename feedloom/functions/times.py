@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import col, py_strip
 
+# The form of stamps at rest.
 Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 #: Extended ISO-8601 forms that are accepted: date, date and time, fraction, zone. A plain cast would
 #: also take lone times, single digits and region names.
 ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
@@ -30,7 +32,7 @@ def iso_to_utc_z(c: str | Column) -> Column:
 def strict_utc_z(c: str | Column) -> Column:
     """The stamp as a timestamp if it is exactly of the form at rest, else NULL."""
     t = py_strip(c)
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"), F.try_to_timestamp(t, F.lit(Z_FORMAT)))
+    return F.when(t.rlike(STAMP), F.try_to_timestamp(t, F.lit(Z_FORMAT)))
 
 
 def feed_date(c: str | Column) -> Column:
