@@ -3,23 +3,27 @@
 The order of records is a list of *levels*, whole numbers of which a larger one is better. For every
 contributor bounds of the cutoff are kept; each round counts the records above all midpoints of all
 contributors in one aggregation and narrows the bounds, until they meet. Records that tie at the
-cutoff go on to the next level; the last levels are the identifier itself, seven bytes at a time.
+cutoff go on to the next level; the last levels are the identifier itself, seven bytes at a time, as
+many as ties need: a level is computed for the records only that still tie there.
 Only counts per contributor and value are shuffled, so a contributor with a third of all rows costs
 no more than others, and no contributor's records are sorted or gathered.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom import storage
 from feedloom.functions.text import non_blank, py_strip
+from feedloom.functions.times import STAMP
 from feedloom.llm import keys as K
 
-#: Sections into which a round cuts each contributor's bounds: 16 are four halvings at once.
-SECTIONS = 16
-STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
+#: Sections into which a round cuts each contributor's bounds: 1024 are ten halvings at once.
+SECTIONS = 1024
 
 
 def eligible(candidates: DataFrame, sources: DataFrame) -> DataFrame:
@@ -37,29 +41,39 @@ def eligible(candidates: DataFrame, sources: DataFrame) -> DataFrame:
     return K.spelled_source(df, "__id", sources, "source_id").select("item_id", "source_id", "source_type", F.col("relevance_score").cast("long").alias("relevance_score"), "published_at", "created_at")
 
 
-def id_levels(c: str, most: int) -> list[Column]:
-    """The text as numbers whose order, from the first on, is that of the text, ascending is better."""
-    raw = F.hex(F.encode(F.col(c), "UTF-8"))
-    parts = [-F.conv(F.rpad(F.substring(raw, 1 + 14 * k, 14), 14, "0"), 16, 10).cast("long") for k in range((most + 6) // 7)]
-    return [*parts, -F.length(raw).cast("long")]
+def id_level(c: str, k: int) -> Column:
+    """Bytes 7k to 7k + 6 of the text as a number of which more is better: ids in ascending order. The
+    digits are the bytes plus one, to the base 257, so that an end comes before every byte."""
+    part, value = F.substring(F.encode(F.col(c), "UTF-8"), 1 + 7 * k, 7), F.lit(0).cast("long")
+    for i in range(1, 8):
+        byte = F.conv(F.hex(F.substring(part, i, 1)), 16, 10).cast("long")
+        value = value * 257 + F.when(F.octet_length(part) >= i, byte + 1).otherwise(0)
+    return F.when(F.col(c).isNotNull(), -value)
 
 
-def cutoffs(df: DataFrame, group: list[str], levels: list[str], limit: Column | int) -> DataFrame:
+def cutoffs(df: DataFrame, group: list[str], level: Callable[[int], Column], levels: int, limit: Column | int) -> DataFrame:
     """(group, cut): the records of a group to keep are those whose levels are >= cut, as arrays.
 
-    ``df`` holds the levels as long columns, none null. ``limit`` is a number or an expression over
-    ``__n``, the size of the group, for shares. Groups within the limit get an empty cut. Records
-    that tie in every level are kept or left out together, so give levels that tell all apart.
+    ``level(k)``, k < ``levels``, is a whole number of a record of ``df``, none null. ``limit`` is a
+    number or an expression over ``__n``, the size of the group, for shares. Groups within the limit
+    get an empty cut. Records that tie in every level are kept or left out together, so give levels
+    that tell all apart; levels beyond those that ties need are never computed.
     """
     sizes = df.groupBy(*group).agg(F.count("*").alias("__n"))
     need = (F.lit(limit) if isinstance(limit, int) else limit).cast("long")
     state = storage.cut(sizes.select(*group, F.when(F.col("__n") > need, need).alias("need"), F.array().cast("array<long>").alias("cut")))
     done, active = state.where("need IS NULL").select(*group, "cut"), df
     state = state.where("need IS NOT NULL")
-    for level in levels:
-        active = _meet(active, state, group)
-        counts = active.groupBy(*group, F.col(level).alias("v")).agg(F.count("*").alias("n"))
-        counts = storage.cut(counts)
+    for k in range(levels):
+        if state.isEmpty():
+            break
+        # Of the records only those that tie at the last level's cutoff.
+        at = ["at"] if k else []
+        s = state.select(*[F.col(g).alias(f"__{g}") for g in group], *at)
+        active = active.join(s, [active[g].eqNullSafe(s[f"__{g}"]) for g in group])
+        active = active.where(F.col("at") == level(k - 1)) if k else active
+        active = storage.cut(active.select(*df.columns))
+        counts = storage.cut(active.groupBy(*group, level(k).alias("v")).agg(F.count("*").alias("n")))
         span = counts.groupBy(*group).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
         state = state.join(span, [state[g].eqNullSafe(span[g]) for g in group]).select(*[state[g] for g in group], "need", "cut", "lo", "hi")
         state = storage.cut(state.withColumn("found", F.when(F.col("need") == 0, F.col("hi") + 1)))
@@ -68,41 +82,36 @@ def cutoffs(df: DataFrame, group: list[str], levels: list[str], limit: Column |
         done = done.unionByName(state.where("found IS NOT NULL").select(*group, F.concat("cut", F.array("found")).alias("cut")))
         # The rest ties at lo = hi: to the next level with what is still needed.
         state = state.where("found IS NULL").select(*group, "need", F.concat("cut", F.array("lo")).alias("cut"), F.col("lo").alias("at"))
-        active = active.join(state.select(*[F.col(g).alias(f"__{g}") for g in group], "at"), [active[g].eqNullSafe(F.col(f"__{g}")) for g in group]).where(F.col(level) == F.col("at")).select(*active.columns)
-        state = state.drop("at")
-        done, active, state = storage.cut(done), storage.cut(active), storage.cut(state)
-        if state.isEmpty():
-            break
-    return done.unionByName(state.select(*group, "cut"))
-
-
-def _meet(df: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
-    s = state.select(*[F.col(g).alias(f"__{g}") for g in group])
-    return df.join(s, [df[g].eqNullSafe(s[f"__{g}"]) for g in group], "left_semi")
+    return storage.cut(done.unionByName(state.select(*group, "cut")))
 
 
 def _narrow(counts: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
-    """One round: counts above all midpoints together, then the section that holds the cutoff."""
+    """One round: counts by section of all contributors together, then the section of each cutoff.
+
+    What is found: the bound between two sections above which just as many lie as are needed, else the
+    section in which the last needed record lies, with the number needed of it.
+    """
     s = state.select(*[F.col(g).alias(f"__{g}") for g in group], "need", "cut", "lo", "hi", "found")
-    step = F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / SECTIONS)).cast("long")
-    j = counts.join(s, [counts[g].eqNullSafe(s[f"__{g}"]) for g in group])
-    # above[k]: records of value >= lo + (k + 1) step, within the bounds
-    above = [F.sum(F.when((F.col("v") >= F.col("lo") + step * k) & (F.col("v") <= F.col("hi")) & F.col("found").isNull(), F.col("n")).otherwise(0)) for k in range(1, SECTIONS)]
-    out = j.groupBy(*group).agg(F.array(*above).alias("above"), *[F.first(c).alias(c) for c in ("need", "cut", "lo", "hi", "found")])
-    # The first midpoint with fewer than needed above it: the cutoff lies in the section below it.
-    k = F.size(F.filter("above", lambda a: a >= F.col("need")))
-    exact = F.array_position("above", F.col("need"))
-    taken = F.coalesce(F.get("above", k), F.lit(0))
     live = F.col("found").isNull() & (F.col("lo") < F.col("hi"))
-    out = out.withColumns({"k": k, "exact": exact, "taken": taken, "step": step, "live": live})
-    return out.select(
+    step = F.expr(f"(hi - lo) div {SECTIONS} + 1")
+    j = counts.join(s, [counts[g].eqNullSafe(s[f"__{g}"]) for g in group]).where(live & F.col("v").between(F.col("lo"), F.col("hi")))
+    # Whole division: doubles would not tell neighbouring levels apart.
+    by = j.withColumn("step", step).groupBy(*group, F.expr("(v - lo) div step").alias("k")).agg(F.sum("n").alias("n"))
+    # At most SECTIONS rows a contributor reach the window.
+    above = by.withColumn("above", F.sum("n").over(W.partitionBy(*group).orderBy(F.desc("k"))))
+    t = above.select(*[F.col(g).alias(f"__{g}") for g in group], "k", "n", "above")
+    hit = t.join(state, [state[g].eqNullSafe(t[f"__{g}"]) for g in group]).where((F.col("above") >= F.col("need")) & (F.col("above") - F.col("n") < F.col("need")))
+    exact = F.col("above") == F.col("need")
+    low = F.col("lo") + step * F.col("k")
+    new = hit.select(
         *group,
-        F.when(F.col("live") & (F.col("exact") == 0), F.col("need") - F.col("taken")).otherwise(F.col("need")).alias("need"),
+        F.when(exact, F.col("need")).otherwise(F.col("need") - F.col("above") + F.col("n")).alias("need"),
         "cut",
-        F.when(F.col("live"), F.col("lo") + F.col("step") * F.col("k")).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("live"), F.least(F.col("hi"), F.col("lo") + F.col("step") * (F.col("k") + 1) - 1)).otherwise(F.col("hi")).alias("hi"),
-        F.when(F.col("live") & (F.col("exact") > 0), F.col("lo") + F.col("step") * F.col("exact")).otherwise(F.col("found")).alias("found"),
+        low.alias("lo"),
+        F.least(F.col("hi"), low + step - 1).alias("hi"),
+        F.when(exact, low).alias("found"),
     )
+    return new.unionByName(state.where(~live))
 
 
 def cap_contributors(df: DataFrame, group: list[str], levels: dict[str, Column], id_col: str, limit: Column | int) -> DataFrame:
@@ -112,17 +121,18 @@ def cap_contributors(df: DataFrame, group: list[str], levels: dict[str, Column],
     record: all are kept or none. Null groups and ids are groups and ids like others (a null id
     comes after all). An empty table stays empty.
     """
-    names = [f"__l{i}" for i in range(len(levels))]
+    names, ident = [f"__l{i}" for i in range(len(levels))], "__id"
     least = F.lit(-(2**62))
-    work = df.withColumns({n: F.coalesce(c.cast("long"), least) for n, c in zip(names, levels.values(), strict=True)})
-    most = df.agg(F.max(F.octet_length(id_col))).first()[0] or 0
-    ids = id_levels(id_col, most)
-    keys = [f"__i{i}" for i in range(len(ids))]
-    work = work.withColumns({k: F.coalesce(c, least) for k, c in zip(keys, ids, strict=True)})
-    unique = work.select(*group, *names, *keys).distinct()
-    cut = cutoffs(unique, group, [*names, *keys], limit)
+    work = df.withColumns({n: F.coalesce(c.cast("long"), least) for n, c in zip(names, levels.values(), strict=True)} | {ident: F.col(id_col).cast("string")})
+    most = -(-(work.agg(F.max(F.octet_length(ident))).first()[0] or 0) // 7)
+    level = lambda k: F.col(names[k]) if k < len(names) else F.coalesce(id_level(ident, k - len(names)), least)
+    unique = work.select(*group, *names, ident).distinct()
+    cut = cutoffs(unique, group, level, len(names) + max(most, 1), limit)
+    # Only so many levels are compared as the deepest tie has.
+    deep = cut.agg(F.max(F.size("cut"))).first()[0] or 0
     c = cut.select(*[F.col(g).alias(f"__g_{g}") for g in group], F.col("cut").alias("__cut"))
-    kept = work.join(c, [work[g].eqNullSafe(c[f"__g_{g}"]) for g in group]).where(F.slice(F.array(*names, *keys), F.lit(1), F.size("__cut")) >= F.col("__cut"))
+    own = F.array(*[level(k) for k in range(deep)]) if deep else F.array().cast("array<long>")
+    kept = work.join(c, [work[g].eqNullSafe(c[f"__g_{g}"]) for g in group]).where(F.slice(own, F.lit(1), F.size("__cut")) >= F.col("__cut"))
     return kept.select(*df.columns)
 
 

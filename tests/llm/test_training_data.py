@@ -25,6 +25,17 @@ def test_capping_equals_sorting(spark, limit, ties):
     assert Counter(map(tuple, got)) == want
 
 
+def test_capping_by_long_identifiers(spark):
+    """Ties are told apart late in long ids, by length alone, or never (rows that are equal stay together)."""
+    deep = "x" * 30
+    ids = [deep + c for c in "dcba"] + [deep, deep + "\0", "y" * 20_000, "ü", None]
+    df = spark.createDataFrame([("g", 1, i) for i in [*ids, ids[0]]], "g string, s int, i string")
+    for limit in (1, 3, 6, 8):
+        got = capping.cap_contributors(df, ["g"], {"s": F.col("s")}, "i", limit).collect()
+        want = sorted((i for i in ids if i is not None), key=str.encode) + [None]
+        assert Counter(r.i for r in got) == Counter(i for i in [*ids, ids[0]] if i in want[:limit])
+
+
 def test_capping_share_and_empty(spark):
     df = spark.createDataFrame([("a", i, f"i{i}") for i in range(10)], "g string, s int, i string")
     assert capping.cap_contributors(df, ["g"], {"s": F.col("s")}, "i", F.ceil(F.col("__n") * 0.3)).count() == 3
