@@ -63,7 +63,7 @@ def goals(report: list) -> tuple[np.ndarray, int]:
     return goal, size
 
 
-def tilt(patterns: DataFrame, goal: np.ndarray, supply: np.ndarray, rounds: int = 30, close: float = 0.01) -> np.ndarray:
+def tilt(patterns: DataFrame, goal: np.ndarray, supply: np.ndarray, rounds: int = 40, close: float = 1e-4) -> np.ndarray:
     """Multipliers such that expected counts meet ``goal``: Newton on the exponential-tilting dual.
 
     ``patterns(pattern array<int>, n)``: how many items lie in which categories. What comes to the
@@ -71,8 +71,10 @@ def tilt(patterns: DataFrame, goal: np.ndarray, supply: np.ndarray, rounds: int
     """
     c = len(goal)
     sure, none = goal >= supply - 1e-9, goal <= 0
-    x = np.where(sure, CERTAIN, np.where(none, -CERTAIN, np.log(np.maximum(goal, 1e-9) / np.maximum(supply, 1))))
     live = ~(sure | none)
+    # All start from the rate of the whole: it is Newton that tells categories apart.
+    rate = goal[live].sum() / max(supply[live].sum(), 1) if live.any() else 1.0
+    x = np.where(sure, CERTAIN, np.where(none, -CERTAIN, np.log(max(rate, 1e-9))))
     for _ in range(rounds):
         lam = F.array(*[F.lit(float(v)) for v in x])
         e = F.aggregate("pattern", F.lit(0.0), lambda a, i: a + F.get(lam, i))
@@ -120,8 +122,10 @@ def draw(items: DataFrame, patterns: DataFrame, x: np.ndarray, seed: int) -> Dat
     """(item_id, pattern): the sample, by pivotal rounds over ever wider groups."""
     lam = F.array(*[F.lit(float(v)) for v in x])
     e = F.aggregate("pattern", F.lit(0.0), lambda a, i: a + F.get(lam, i))
-    plan = patterns.select("pattern", F.least(F.lit(1.0), F.exp(e)).alias("p"), F.greatest(F.lit(1), F.ceil(F.col("n") / UNITS)).alias("salts"))
-    units = items.join(plan, "pattern").withColumn("salt", F.pmod(F.xxhash64("item_id", F.lit(seed)), F.col("salts"))).select("item_id", "pattern", "p", "salt")
+    # Only patterns of more than UNITS items are dealt out, at most a row for every UNITS items.
+    large = storage.cut(patterns.where(F.col("n") > UNITS).select("pattern", F.ceil(F.col("n") / UNITS).alias("salts")))
+    units = items.withColumn("p", F.least(F.lit(1.0), F.exp(e))).join(storage.small_side(large, large.count()), "pattern", "left")
+    units = units.select("item_id", "pattern", "p", F.pmod(F.xxhash64("item_id", F.lit(seed)), F.coalesce("salts", F.lit(1))).alias("salt"))
 
     def decide(last: bool):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
