@@ -13,7 +13,7 @@ _NAMES = {
     "neardup": ["p2_found", "p2_groups"],
     "boilerplate": ["p3_found", "p3_articles", "p3_slots"],
     "proportions": ["p4_found", "p4_sample", "p4_report"],
-    "history": ["p5_found"],
+    "history": ["p5_found", "p5_nearest"],
     "packing": ["p6_found", "p6_packed", "p6_report"],
     "mixing": ["p7_found", "p7_mixture", "p7_report"],
     "subjects": ["p8_found", "p8_composition"],

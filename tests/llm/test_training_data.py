@@ -234,22 +234,26 @@ def test_batches_one_by_one_equal_all_at_once_and_brute_force(spark):
     at_once = history.repeated_records(start(), key_rows(spark, rows)).where("repeated")
     assert {r.raw_id for r in at_once.collect()} == want
     index = start()
-    got = set()
-    for b in range(4):
-        got |= {r.raw_id for r in storage.cut(history.repeated_records(index, key_rows(spark, [r for r in rows if r[1] == b]))).where("repeated").collect()}
-        index = history.CellIndex.open(spark, index.path)
-    assert got == want
-    assert index.stored().count() == len(have)
+    got = history.batch_by_batch(index, storage.cut(key_rows(spark, rows))).where("repeated")
+    assert {r.raw_id for r in got.collect()} == want
+    assert history.CellIndex.open(spark, index.path).stored().count() == len(have)
+    assert history.batch_by_batch(index, key_rows(spark, rows[:1]).limit(0)).count() == 0
 
 
-def test_probing_by_bounds_finds_all_within_radius(spark):
+@pytest.mark.parametrize("block", [7, 10_000])
+def test_probing_by_bounds_finds_the_nearest(spark, monkeypatch, block):
+    monkeypatch.setattr(history, "BLOCK_STORED", block)
+    monkeypatch.setattr(history, "BLOCK_QUERIES", block)
     rng = random.Random(6)
-    texts = ["".join(rng.choice("abcdef") for _ in range(12)) for _ in range(200)]
-    index = history.CellIndex.create(spark.createDataFrame([(t,) for t in set(texts)], "key string"), storage.scratch(spark, "t"), cells=8)
-    q = texts[:10]
-    got = {(r.key, r.stored) for r in index.within(spark.createDataFrame([(t,) for t in set(q)], "key string"), 3.0).collect()}
+    texts = sorted({"".join(rng.choice("abcdef") for _ in range(rng.randrange(4, 14))) for _ in range(200)} | {"é" * 400, ""})
+    stored, asked = texts[::2], texts[:60]
+    index = history.CellIndex.create(spark.createDataFrame([(t,) for t in stored], "key string"), storage.scratch(spark, "t"), cells=8)
+    got = {r.key: (r.stored, r.distance) for r in index.nearest(spark.createDataFrame([(t,) for t in asked], "key string")).collect()}
     v = {t: history.pair_counts([t])[0].astype(float) for t in texts}
-    assert got == {(a, b) for a in q for b in texts if np.linalg.norm(v[a] - v[b]) <= 3.0}
+    want = {q: min((np.linalg.norm(v[q] - v[t]), t) for t in stored) for q in asked}
+    assert got.keys() == want.keys() and all(abs(got[q][1] - want[q][0]) < 1e-6 and got[q][0] == want[q][1] for q in asked)
+    none = history.CellIndex.create(spark.createDataFrame([], "key string"), storage.scratch(spark, "t"))
+    assert none.nearest(spark.createDataFrame([("a",)], "key string")).count() == 0
 
 
 # p6
