@@ -246,7 +246,8 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that the packing had to split for the container ``wide``."""
     wide = storage.table(spark, d, "containers").where("container = 'wide'")
-    return pack(sized_documents(spark, d), wide).where("n_pieces > 1").select("doc_id").distinct()
+    # Written with every container number, so that the rows are those of the packing.
+    return storage.cut(pack(sized_documents(spark, d), wide)).where("n_pieces > 1").select("doc_id").distinct()
 
 
 SQL: dict[str, str] = {}
