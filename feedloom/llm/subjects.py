@@ -1,49 +1,37 @@
-"""Problem 8: the subjects of each document, by propagating labels over shared phrases.
-
-The graph has documents, their segments (sentences, long ones cut) and phrases (words and pairs of
-neighbouring words). Two documents are similar as far as they share phrases; the graph is kept in
-this factored form, document - phrase - document, as pairs of documents sharing a common phrase grow
-with the square of the collection. An edge is *verified* if its phrase keeps to one subject: at least
-PURITY of the label mass of the documents it occurs in, and occurs often enough.
-
-A round joins documents with the phrase table (labels flow from phrases to segments: a segment takes
-the subject that clearly leads among its phrases) and aggregates back (from segments to phrases: each
-segment gives its phrases its own subject, or its document's shares if it has none). Trusted seeds,
-labels on which several labellers agree, are clamped in every round. A document keeps every subject
-that makes up at least SHARE of its segments, weighted by words: one, several or none.
+"""Problem 8: the subjects of each document, by propagating labels over a verified graph.
+
+The graph has segments of documents (sentences, long ones cut) on one side and phrases (words and pairs
+of neighbouring words) on the other: two documents are similar as far as they share phrases. It is
+kept in this factored form, document - phrase - document, as pairs of documents that share a common
+phrase grow with the square of the collection. An edge is *verified* if its phrase keeps to one
+subject: at least PURITY of the label mass of what it occurs in, and occurs often enough. Pairs of
+words that occur with any subject though one of their words keeps to one ("in your court") are figures
+of speech: they take back the votes of their words.
+
+Labels are propagated by joins of tables until few change. A round joins the edges with the verified
+phrases (a segment takes the subject that clearly leads among its phrases) and back (each segment gives
+its phrases its own subject, or its document's shares if it has none). Trusted seeds, labels on which
+several labellers agree, are clamped in every round. A document keeps every subject that makes up at
+least SHARE of its words: one, several or none.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import storage
+from feedloom.functions.text import PYWS
 
 SHARE, PURITY, SUPPORT, LEAD = 0.2, 0.6, 3, 0.6
-ROUNDS = 2
 #: A pair of words below this purity, of at least this mass, is a figure of speech.
 MIXED, MIXED_SUPPORT = 0.4, 8
-#: Words of a segment at most, and rows of the phrase table that every task may hold.
-SEGMENT, PHRASES = 20, 500_000
-WORD = re.compile(r"[^\W\d_]{3,}")
-BREAK = re.compile(r"(?<=[.!?…])\s+|\n+")
-
-
-def segments(text: str) -> Iterator[list[str]]:
-    for part in BREAK.split(text):
-        w = WORD.findall(part.lower())
-        for i in range(0, len(w), SEGMENT):
-            yield w[i : i + SEGMENT]
-
-
-def phrases(w: list[str]) -> set[str]:
-    return {*w, *map(" ".join, zip(w, w[1:], strict=False))}
+#: Rounds end when at most this share of the documents gets other subjects, or after ROUNDS.
+CHANGED, ROUNDS = 0.02, 8
+#: Words of a segment at most.
+SEGMENT = 20
+WORD = r"([\p{L}\p{Nl}\p{No}]{3,})"
+BREAK = rf"(?<=[.!?…]){PYWS}+|\n+"
 
 
 def seeds(labels: DataFrame, subjects: list[str]) -> DataFrame:
@@ -60,90 +48,74 @@ def seeds(labels: DataFrame, subjects: list[str]) -> DataFrame:
     return doc.select("doc_id", often.alias("given"), ((F.col("n") > 1) & (F.col("kinds") == 1)).alias("trusted"))
 
 
-def shares(text: str, model: dict[str, tuple[int, float]], k: int) -> tuple[np.ndarray, list[tuple[set[str], int]]]:
-    """Share of the words in segments of each subject, and each segment's phrases and subject (-1: none)."""
-    total, h, out = 0, np.zeros(k), []
-    for w in segments(text):
-        p, v = phrases(w), {}
-        idle = {x for t in p if (m := model.get(t)) and m[0] < 0 for x in t.split(" ")}
-        for t in p:
-            m = model.get(t)
-            if m and m[0] >= 0 and t not in idle:
-                v[m[0]] = v.get(m[0], 0.0) + m[1]
-        best = max(v, key=v.get) if v else -1
-        if v and v[best] < LEAD * sum(v.values()):
-            best = -1
-        total += len(w)
-        if best >= 0:
-            h[best] += len(w)
-        out.append((p, best))
-    return h / max(total, 1), out
-
-
-def phrase_mass(docs: DataFrame, model: dict | None, k: int) -> DataFrame:
-    """(phrase, subject, mass): label mass per phrase; subject k stands for none.
-
-    Without a model, seeds give their subjects to all their segments; with one, see the module.
-    Counts are summed per batch before they are shuffled.
-    """
+def segments(docs: DataFrame) -> DataFrame:
+    """(rid, seg, n, words array<long>): the segments of ``docs(rid, text)`` as codes of their words."""
+    part = docs.select("rid", F.posexplode(F.split(F.lower("text"), BREAK)).alias("at", "part"))
+    words = part.select("rid", "at", F.transform(F.regexp_extract_all("part", F.lit(WORD), F.lit(1)), lambda x: F.xxhash64(x)).alias("w")).where("size(w) > 0")
+    cut = F.transform(F.sequence(F.lit(0), F.expr(f"cast((size(w) - 1) div {SEGMENT} as int)")), lambda i: F.slice("w", i * SEGMENT + 1, F.lit(SEGMENT)))
+    some = words.select("rid", "at", F.posexplode(cut).alias("k", "words"))
+    return some.select("rid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("k")).alias("seg"), F.size("words").alias("n"), "words")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            mass: dict[tuple[str, int], float] = {}
-            for text, given, trusted in zip(b["text"], b["given"], b["trusted"], strict=True):
-                own = None if given is None else ({int(s): 1 / len(given) for s in given} if len(given) else {k: 1.0})
-                if model is None:
-                    every: set[str] = set()
-                    for w in segments(text):
-                        every |= phrases(w)
-                    parts = [(every, own)]
-                else:
-                    h, segs = shares(text, model, k)
-                    doc = own if trusted else {int(i): float(h[i]) for i in np.flatnonzero(h)} | {k: float(max(0.0, 1 - h.sum()))}
-                    parts = [(p, {s: 1.0} if s >= 0 and (not trusted or s in own) else doc) for p, s in segs]
-                for p, dist in parts:
-                    for t in p:
-                        for s, x in dist.items():
-                            mass[t, s] = mass.get((t, s), 0.0) + x
-            yield pd.DataFrame([(t, s, m) for (t, s), m in mass.items()], columns=["phrase", "subject", "mass"])
-
-    parts = docs.select("text", "given", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    return parts.mapInPandas(run, "phrase string, subject int, mass double").groupBy("phrase", "subject").agg(F.sum("mass").alias("mass"))
-
-
-def verified(mass: DataFrame, k: int) -> dict[str, tuple[int, float]]:
-    """The phrase table: phrases that keep to one subject, at most PHRASES, those with most mass.
-
-    Pairs of words that occur with any subject though one of their words keeps to one ("in your
-    court") are figures of speech: they are listed with subject -1 and make that word count for
-    nothing where they stand.
-    """
-    by = mass.groupBy("phrase").agg(F.sum("mass").alias("n"), F.max_by("subject", "mass").alias("s"), F.max("mass").alias("m"))
-    p = (F.col("m") + 0.1) / (F.col("n") + 1.1)
-    by = storage.cut(by)
-    kept = by.where((F.col("s") < k) & (F.col("n") >= SUPPORT) & (p >= PURITY)).select("phrase", "s", p.alias("p"), "n")
-    rows = kept.orderBy(F.desc("n"), "phrase").limit(PHRASES).toPandas()
-    words = kept.where(~F.col("phrase").contains(" ")).select(F.col("phrase").alias("word"))
-    mixed = by.where(F.col("phrase").contains(" ") & (F.col("n") >= MIXED_SUPPORT) & ((F.col("s") == k) | (p < MIXED)))
-    figures = mixed.select("phrase", "n", F.explode(F.split("phrase", " ")).alias("word")).join(words, "word", "left_semi")
-    idle = figures.groupBy("phrase").agg(F.max("n").alias("n")).orderBy(F.desc("n"), "phrase").limit(PHRASES).toPandas()
-    return dict.fromkeys(idle["phrase"], (-1, 0.0)) | dict(zip(rows["phrase"], zip(rows["s"].astype(int), rows["p"].astype(float), strict=True), strict=True))
 
+def edges(segs: DataFrame, *keep: str) -> DataFrame:
+    """(keep..., phrase, a, b): the segment's different phrases; a and b are the words of a pair."""
+    none = F.lit(None).cast("long")
+    one = F.transform("words", lambda w: F.struct(w.alias("phrase"), none.alias("a"), none.alias("b")))
+    two = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.struct(F.xxhash64(a, b).alias("phrase"), a.alias("a"), b.alias("b")))
+    two = F.when(F.size("words") > 1, two).otherwise(F.array().cast("array<struct<phrase: bigint, a: bigint, b: bigint>>"))
+    return segs.select(*keep, F.explode(F.array_distinct(F.concat(one, two))).alias("e")).select(*keep, "e.phrase", "e.a", "e.b")
 
-def subject_shares(docs: DataFrame, model: dict, subjects: list[str]) -> DataFrame:
-    """(doc_id, subject, share) of every subject with a share of at least SHARE; seeds are clamped."""
-    k = len(subjects)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for i, text, given, trusted in zip(b["doc_id"], b["text"], b["given"], b["trusted"], strict=True):
-                h, _ = shares(text, model, k)
-                keep = {int(s) for s in given} if trusted else {int(s) for s in np.flatnonzero(h >= SHARE - 1e-9)}
-                rows += [(i, subjects[s], float(h[s])) for s in sorted(keep)]
-            yield pd.DataFrame(rows, columns=["doc_id", "subject", "share"]).astype({"share": "float64"})
+def mass(given: DataFrame, k: int) -> DataFrame:
+    """(phrase, a, b, m): label mass of each phrase by subject, place k for none. ``given`` has edges
+    with ``d``, k + 1 shares; sums are partial before the shuffle, so a common phrase is one row a task."""
+    sums = F.array(*[F.sum(F.get("d", F.lit(i))) for i in range(k + 1)])
+    return given.groupBy("phrase").agg(F.min("a").alias("a"), F.min("b").alias("b"), sums.alias("m"))
 
-    return docs.select("doc_id", "text", "given", F.coalesce("trusted", F.lit(False)).alias("trusted")).mapInPandas(run, "doc_id long, subject string, share double")
+
+def votes(by: DataFrame, k: int) -> DataFrame:
+    """(phrase, subject, weight): the verified edges' votes; figures of speech have negative ones."""
+    n = F.aggregate("m", F.lit(0.0), lambda a, x: a + x)
+    by = by.select("phrase", "a", "b", n.alias("n"), (F.array_position("m", F.array_max("m")) - 1).cast("int").alias("subject"), ((F.array_max("m") + 0.1) / (n + 1.1)).alias("weight"))
+    by = storage.cut(by)
+    kept = by.where((F.col("subject") < k) & (F.col("n") >= SUPPORT) & (F.col("weight") >= PURITY)).select("phrase", "subject", "weight", "a")
+    figures = by.where(F.col("a").isNotNull() & (F.col("n") >= MIXED_SUPPORT) & ((F.col("subject") == k) | (F.col("weight") < MIXED)))
+    word = kept.where("a IS NULL").select(F.col("phrase").alias("word"), "subject", "weight")
+    back = figures.select("phrase", F.explode(F.array_distinct(F.array("a", "b"))).alias("word")).join(word, "word").select("phrase", "subject", -F.col("weight"))
+    return storage.cut(kept.select("phrase", "subject", "weight").union(back))
+
+
+def shares(segs: DataFrame, table: DataFrame, docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """((rid, seg, best), (rid, doc_id, given, trusted, h)): the subject of every segment in which one
+    clearly leads, and of every document the share of its words in segments of each subject."""
+    table = storage.small_side(table, table.count())
+    hits = edges(segs, "rid", "seg", "n").join(table, "phrase")
+    sums = F.array(*[F.greatest(F.lit(0.0), F.sum(F.when(F.col("subject") == i, F.col("weight")).otherwise(0.0))) for i in range(k)])
+    led = hits.groupBy("rid", "seg").agg(F.first("n").alias("n"), sums.alias("v"))
+    top = F.array_max("v")
+    led = led.where((top > 0) & (top >= LEAD * F.aggregate("v", F.lit(0.0), lambda a, x: a + x)))
+    led = storage.cut(led.select("rid", "seg", "n", (F.array_position("v", top) - 1).cast("int").alias("best")))
+    words = led.groupBy("rid").agg(F.array(*[F.sum(F.when(F.col("best") == i, F.col("n")).otherwise(0)) for i in range(k)]).alias("h"))
+    none = F.array_repeat(F.lit(0.0), k)
+    h = F.coalesce(F.transform("h", lambda x: x / F.col("total")), none)
+    return led.drop("n"), storage.cut(docs.join(words, "rid", "left").select("rid", "doc_id", "given", "trusted", h.alias("h")))
+
+
+def kept_subjects(k: int) -> Column:
+    """The subjects of a document of :func:`shares`: those given if trusted, else those of enough words."""
+    return F.when(F.col("trusted"), F.array_sort("given")).otherwise(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("h", i) >= SHARE - 1e-9))
+
+
+def spread(segs: DataFrame, led: DataFrame, state: DataFrame, k: int) -> DataFrame:
+    """:func:`mass` of all segments, each with its own subject or its document's shares."""
+    size = F.size("given")
+    own = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.when(size == 0, (i == k).cast("double")).otherwise(F.array_contains("given", i).cast("double") / size))
+    rest = F.greatest(F.lit(0.0), 1 - F.aggregate("h", F.lit(0.0), lambda a, x: a + x))
+    whole = state.select("rid", F.when(F.col("trusted"), F.col("given")).alias("clamp"), F.when(F.col("trusted"), own).otherwise(F.concat("h", F.array(rest))).alias("whole"))
+    one = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: (i == F.col("best")).cast("double"))
+    mine = F.col("best").isNotNull() & (F.col("clamp").isNull() | F.array_contains("clamp", F.col("best")))
+    told = segs.join(led, ["rid", "seg"], "left").join(whole, "rid").select("words", F.when(mine, one).otherwise(F.col("whole")).alias("d"))
+    return mass(edges(told, "d"), k)
 
 
 def assign_subjects(documents: DataFrame, areas: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -151,16 +123,34 @@ def assign_subjects(documents: DataFrame, areas: DataFrame, labels: DataFrame, r
 
     Null, blank and wordless texts have none, unless trusted labels give some; rows with equal doc_id
     are looked at each and their results united. No labels or no areas give no rows. The list of areas
-    fits the driver.
+    fits the driver; documents, segments and phrases are tables that never do.
     """
+    spark = documents.sparkSession
     subjects = [r.subject for r in areas.where("subject IS NOT NULL").select("subject").distinct().orderBy("subject").collect()]
     k = len(subjects)
+    if not k:
+        return spark.createDataFrame([], documents.select("doc_id").schema.add("subject", "string").add("share", "double"))
     given = storage.cut(seeds(labels, subjects))
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(storage.small_side(given, given.count()), "doc_id", "left")
-    model = verified(phrase_mass(docs.where("given IS NOT NULL"), None, k), k)
+    texts = storage.cut(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("rid", F.monotonically_increasing_id()))
+    segs = storage.cut(segments(texts))
+    docs = texts.select("rid", "doc_id").join(segs.groupBy("rid").agg(F.sum("n").alias("total")), "rid", "left")
+    docs = docs.join(storage.small_side(given, given.count()), "doc_id", "left").select("rid", "doc_id", "total", "given", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    docs = storage.cut(docs)
+    # Seeds give their subjects to every phrase they have, once a document.
+    size = F.size("given")
+    own = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.when(size == 0, (i == k).cast("double")).otherwise(F.array_contains("given", i).cast("double") / size))
+    told = docs.where("given IS NOT NULL").select("rid", own.alias("d"))
+    told = edges(segs.join(storage.small_side(told, told.count()), "rid"), "rid", "d")
+    by = mass(told.groupBy("rid", "phrase").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.first("d").alias("d")), k)
+    led, state = shares(segs, votes(by, k), docs, k)
+    total = max(docs.count(), 1)
     for _ in range(rounds - 1):
-        model = verified(phrase_mass(docs, model, k), k)
-    return subject_shares(docs, model, subjects)
+        before = state.select("rid", kept_subjects(k).alias("before"))
+        led, state = shares(segs, votes(spread(segs, led, state, k), k), docs, k)
+        if state.join(before, "rid").where(kept_subjects(k) != F.col("before")).count() <= CHANGED * total:
+            break
+    names = F.array(*[F.lit(x) for x in subjects])
+    return state.select("doc_id", "h", F.explode(kept_subjects(k)).alias("i")).select("doc_id", F.get(names, F.col("i")).alias("subject"), F.get("h", F.col("i")).alias("share"))
 
 
 def _all(spark: SparkSession, d: str) -> DataFrame:
