@@ -55,6 +55,7 @@ def wrong_types(v: Column, fields: list[str]) -> Column:
     return bad
 
 
+# The order of sections.
 LABELS = ("hook", "setup", "steps", "cta")
 SECTION = "struct<label: string, text: string>"
 

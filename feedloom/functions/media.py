@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import col, collapse, py_strip
 
-VIDEO_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com", "music.youtube.com")
+# Hosts of videos, and what a word is.
+VIDEO_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com")
 SHORT_HOST = "youtu.be"
 WORD = r"[A-Za-z0-9]+(?:['-][A-Za-z0-9]+)*"
 
@@ -44,10 +46,42 @@ def steps_valid(c: str | Column) -> Column:
     return F.size(lines).between(3, 6) & F.forall(lines, lambda x: F.startswith(x, F.lit("- ")) & (py_strip(F.substring(x, 3, 1_000_000)) != ""))
 
 
+#: A caption time (fixed value): hours and thousandths may be left out, no field is shorter.
+VTT_TIME = r"^(?:(\d{2,}):)?(\d{2}):(\d{2})(?:\.(\d{3}))?$"
+
+
 def vtt_seconds(c: Column) -> Column:
     """[HH:]MM:SS[.mmm] as seconds; NULL if it is no time."""
-    g = lambda k: F.coalesce(F.nullif(F.regexp_extract(c, r"^(?:(\d+):)?(\d{1,2}):(\d{2})(?:[.,](\d{1,3}))?", k), F.lit("")).cast("double"), F.lit(0.0))
-    return F.when(c.rlike(r"^(?:\d+:)?\d{1,2}:\d{2}"), g(1) * 3600 + g(2) * 60 + g(3) + g(4) / 1000)
+    g = lambda k: F.coalesce(F.nullif(F.regexp_extract(c, VTT_TIME, k), F.lit("")).cast("double"), F.lit(0.0))
+    return F.when(c.rlike(VTT_TIME), g(1) * 3600 + g(2) * 60 + g(3) + g(4) / 1000)
+
+
+def seconds_text(c: str | Column) -> Column:
+    """Seconds with three decimals as text, rounded by the number's exact value; NULL if it is none."""
+
+    # Built-in functions round the shortest decimal of the number, which differs at ties.
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or x != x else f"{x:.3f}" for x in s], dtype=object)
+
+    return run(col(c).try_cast("double"))
+
+
+def last_object(c: str | Column) -> Column:
+    """The last line of a text that is a JSON object, as text; NULL if there is none."""
+    lines = F.reverse(F.filter(F.transform(F.split(col(c), "\r\n|\r|\n"), py_strip), lambda x: x.startswith("{") & x.endswith("}")))
+    return F.get(F.filter(lines, lambda x: F.schema_of_variant(F.try_parse_json(x)).startswith("OBJECT")), F.lit(0))
+
+
+def duration_failure(seconds: str | Column, most: float) -> Column:
+    """Why audio is not taken: missing, not_positive or too_long; NULL if it is."""
+    s = col(seconds).cast("double")
+    return F.when(s.isNull() | F.isnan(s), "missing").when(s <= 0, "not_positive").when(s > most, "too_long")
+
+
+def text_failure(c: str | Column, least: int) -> Column:
+    """too_short for texts below ``least`` characters, nulls included."""
+    return F.when(F.coalesce(F.length(col(c)), F.lit(0)) < least, "too_short")
 
 
 def vtt_cues(c: str | Column) -> Column:
@@ -79,4 +113,4 @@ def rotated(key: str | Column, attempts: Sequence[str]) -> Column:
     return F.concat(F.slice(a, at + 1, n), F.slice(a, F.lit(1), at), F.array(F.lit("")))
 
 
-__all__ = ["digest_mod", "rotated", "snippets", "steps_valid", "video_id", "vtt_cues", "word_count"]
+__all__ = ["digest_mod", "duration_failure", "last_object", "rotated", "seconds_text", "snippets", "steps_valid", "text_failure", "video_id", "vtt_cues", "word_count"]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import col, py_strip, py_ws
 
+# Fixed value: what a token is.
 TOKEN = r"[a-z0-9]+(?:\.[a-z0-9]+)*"
 #: Older spellings of terms (fixed value).
 ALIASES = {"freelanc": "freelanc*"}

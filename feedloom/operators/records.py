@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom.functions.jsonv import kind, parsed, string_list, text_at, wrong_types
@@ -12,6 +14,7 @@ from feedloom.functions.scoring import Term, body_text, relevance
 from feedloom.functions.text import first_text, non_blank, py_strip, sha_key
 from feedloom.functions.times import iso_to_utc_z
 
+# Fields and types of records.
 REQUIRED = ["external_id", "url", "title", "published_at", "fetched_at"]
 OPTIONAL = ["source_type", "source_id", "source_name", "creator", "summary"]
 TYPES = ("newsletter", "youtube")
@@ -105,16 +108,34 @@ def joined(list_json: str | Column) -> Column:
 
 
 def script_text(hook: Column, setup: Column, steps: Column, cta: Column, most: int | None = None) -> Column:
+    # The layout and the mark of a cut.
     text = F.concat(F.lit("Hook: "), hook, F.lit("\n\nSetup: "), setup, F.lit("\n\nSteps:\n"), steps, F.lit("\n\nCTA: "), cta)
     return text if most is None else F.when(F.length(text) > most, F.concat(F.substring(text, 1, most), F.lit("...(truncated)"))).otherwise(text)
 
 
-def rendered(template: str, values: dict[str, Column]) -> Column:
-    """A prompt: ``{{NAME}}`` replaced in sorted order; NULL if a placeholder is left over."""
+def placeholders(template: str) -> set[str]:
+    return set(re.findall(r"\{\{([A-Z0-9_]+)\}\}", template))
+
+
+class PromptError(ValueError):
+    """A template whose placeholders are not those that are given values."""
+
+
+def rendered(template: str, values: Mapping[str, Column], exact: bool = True) -> Column:
+    """A prompt: ``{{NAME}}`` replaced in sorted order (as given, without ``exact``).
+
+    The template must have every name, and with ``exact`` no other; that is checked before the plan is
+    made. Rows with a null value, or whose text still holds a placeholder afterwards, fail the job.
+    """
+    have, lacking = placeholders(template), sorted(set(values) - placeholders(template))
+    if not template.strip() or lacking or (exact and have - set(values)):
+        raise PromptError(f"placeholders lacking: {lacking}, without a value: {sorted(have - set(values))}")
     out = F.lit(template)
-    for name in sorted(values):
-        out = F.replace(out, F.lit("{{" + name + "}}"), values[name])
-    return F.when(~out.rlike(r"\{\{[A-Z0-9_]+\}\}"), out)
+    for name in sorted(values) if exact else values:
+        value = F.coalesce(values[name], F.raise_error(F.lit(f"prompt value {name} is null")).cast("string"))
+        out = F.replace(out, F.lit("{{" + name + "}}"), value)
+    left = out.rlike(r"\{\{[A-Z0-9_]+\}\}")
+    return F.when(left, F.raise_error(F.lit("prompt holds a placeholder after all were replaced")).cast("string")).otherwise(out)
 
 
 def cells(row: Column, header: int) -> Column:
@@ -127,6 +148,9 @@ def sheet_upsert(current: DataFrame, rows: DataFrame, key: str, kept: Sequence[s
     """(key, action, columns): rows against a worksheet: updates keep the columns ``kept`` and unknown
     ones, inserts get ``fresh`` values. Blank keys of the sheet are ignored."""
     cur = current.where(non_blank(key).isNotNull())
+    # A key that the sheet holds twice ends the job where it is met, instead of doubling its row.
+    n = F.count("*").over(W.partitionBy(key))
+    cur = cur.withColumn(key, F.when(n > 1, F.raise_error(F.concat(F.lit("key given twice in the sheet: "), F.col(key))).cast("string")).otherwise(F.col(key)))
     new = rows.select([F.col(c).alias(f"__n_{c}") for c in rows.columns])
     j = new.join(cur, F.col(f"__n_{key}") == cur[key], "left")
     out = [F.col(f"__n_{key}").alias(key), F.when(cur[key].isNull(), "insert").otherwise("update").alias("action")]

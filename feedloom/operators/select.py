@@ -9,9 +9,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each group. Planned with a group limit below the shuffle."""
-    return df.withColumn("__k", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col("__k") <= limit).drop("__k")
+def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: int, place: str | None = None) -> DataFrame:
+    """The first ``limit`` rows of each group, with their ``place`` from 1 if a name is given. Planned
+    with a group limit below the shuffle."""
+    name = place or "__k"
+    out = df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col(name) <= limit)
+    return out if place else out.drop(name)
 
 
 def top(df: DataFrame, order: Sequence[Column], limit: int, rank: str = "rank") -> DataFrame:
@@ -76,3 +79,26 @@ def capped_prefix(df: DataFrame, counts: Column, group: Sequence[str], order: Se
     """
     before = F.coalesce(F.sum(F.when(counts, 1).otherwise(0)).over(W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return df.withColumn("visited", before < limit).withColumn("selected", F.col("visited") & F.coalesce(counts, F.lit(False)))
+
+
+def capped_scan(df: DataFrame, counts: Column, order: Sequence[tuple[str, bool]], limit: int) -> DataFrame:
+    """The rows one scan in ``order`` (column, descending) visits until ``limit`` rows count, with
+    ``selected``. Rows that do not count take no capacity.
+
+    The last row that counts is found by a bounded take-ordered, and a filter keeps what lies up to
+    it: no row is numbered and no task sees all. The order must be total and its columns not null.
+    """
+    marked = df.withColumn("selected", F.coalesce(counts, F.lit(False)))
+    if limit <= 0:
+        return marked.limit(0)
+    names = [c for c, _ in order]
+    first = marked.where("selected").orderBy(*[F.desc(c) if down else F.asc(c) for c, down in order]).limit(limit).select(*names)
+    last = first.orderBy(*[F.asc(c) if down else F.desc(c) for c, down in order]).limit(1)
+    row, n = last.first(), first.count()
+    if row is None or n < limit:
+        return marked
+    upto = F.lit(True)
+    for c, down in reversed(list(order)):
+        at = F.lit(row[c])
+        upto = (F.col(c) > at if down else F.col(c) < at) | ((F.col(c) == at) & upto)
+    return marked.where(upto)

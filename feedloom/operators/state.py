@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 
 from pyspark.sql import functions as F
 
+from feedloom.functions.times import plus_hours, strict_utc_z, utc_z
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first by ``order``; aggregated before the shuffle, so hot keys are cheap."""
     row = F.struct(*[df[c] for c in df.columns])
@@ -52,4 +54,39 @@ def fold_retries(events: DataFrame, key: str, at: str, failed: Column, reason: C
         F.when(cool, last + F.make_dt_interval(F.lit(0), F.lit(hours))).alias("next_eligible_at"),
     )
 
-__all__ = ["first_per_key", "fold_retries", "insert_if_absent", "unprocessed", "upsert"]
+def cooled_down(rows: DataFrame, retries: DataFrame, now: str) -> DataFrame:
+    """``rows`` with ``blocked``: whether their item may not be tried again before a time after ``now``.
+
+    No state, no time and times of another form block nothing. ``retries`` has one row per item.
+    """
+    until = retries.select(F.col("item_id").alias("__item"), strict_utc_z("next_eligible_at").alias("__until"))
+    j = rows.join(until, F.col("item_id") == F.col("__item"), "left")
+    return j.withColumn("blocked", F.coalesce(strict_utc_z(F.lit(now)) < F.col("__until"), F.lit(False))).drop("__item", "__until")
+
+
+def next_retries(retries: DataFrame, outcomes: DataFrame, now: str, *, enabled: bool = True, after: int, hours: int, reasons: Sequence[str]) -> DataFrame:
+    """The state's next snapshot after ``outcomes(item_id, source_type, source_id, reason)``, one an item.
+
+    A NULL reason is a success and resets the count of failures in a row; ``after`` of them with one of
+    ``reasons`` block the item for ``hours``.
+    """
+    old = retries.select(F.col("item_id").alias("__item"), F.col("attempts_total").alias("__n"), F.col("consecutive_failures").alias("__c"))
+    j = outcomes.join(old, F.col("item_id") == F.col("__item"), "left")
+    failed = F.col("reason").isNotNull()
+    row = F.when(failed, F.coalesce("__c", F.lit(0)) + 1).otherwise(0)
+    wait = failed & F.col("reason").isin(*reasons) & (row >= after) & F.lit(enabled and hours > 0)
+    new = j.select(
+        "item_id",
+        "source_type",
+        "source_id",
+        F.when(failed, "failed").otherwise("success").alias("last_outcome"),
+        F.col("reason").alias("last_fail_reason"),
+        F.lit(now).alias("last_attempt_at"),
+        F.when(wait, utc_z(plus_hours(strict_utc_z(F.lit(now)), hours))).alias("next_eligible_at"),
+        F.lit(now).alias("updated_at"),
+        (F.coalesce("__n", F.lit(0)) + 1).cast("long").alias("attempts_total"),
+        row.cast("long").alias("consecutive_failures"),
+    )
+    return upsert(retries.select(new.columns), new, ["item_id"])
+
+__all__ = ["cooled_down", "first_per_key", "fold_retries", "insert_if_absent", "next_retries", "unprocessed", "upsert"]

@@ -24,6 +24,7 @@ class Contract:
 
 
 _ENTRY = ("source_type", "source_id", "source_name", "creator", "title", "url", "published_at", "fetched_at")
+# Columns of the tables.
 CONTRACTS = {
     c.name: c
     for c in (
@@ -32,6 +33,13 @@ CONTRACTS = {
         Contract("candidates", ("item_id",), ("item_id", *_ENTRY, "matched_keywords", "content_text", "created_at"), ("relevance_score",)),
         Contract("enriched_items", ("item_id",), ("item_id", "source_type", "url", "title", "published_at", "enriched_text", "evidence_snippets", "enrichment_method", "enriched_at", "inserted_at")),
         Contract("enrich_retry_state", ("item_id",), ("item_id", "source_type", "source_id", "last_outcome", "last_fail_reason", "last_attempt_at", "next_eligible_at", "updated_at"), ("attempts_total", "consecutive_failures"), ("last_fail_reason", "next_eligible_at")),
+        Contract(
+            "ideas",
+            ("item_id",),
+            ("item_id", "source_type", "url", "title", "published_at", "topic", "core_claim", "workflow_steps", "tools_mentioned", "monetization_angle", "metrics_claims", "assumptions", "content_type", "rating_rationale", "hooks", "platform", "recommended_format", "llm_provider", "llm_model", "created_at"),
+            ("viral_rating",),
+        ),
+        Contract("scripts", ("item_id",), ("item_id", "platform", "recommended_format", "primary_hook", "alt_hooks", "script_sections", "cta", "disclaimer", "llm_provider", "llm_model", "created_at"), ("word_count", "estimated_seconds")),
         Contract("deliveries", ("item_id", "channel", "webhook_hash"), ("item_id", "channel", "webhook_hash", "sent_at")),
     )
 }
@@ -62,3 +70,28 @@ def ensure(spark: SparkSession, path: str, c: Contract) -> DataFrame:
             raise
     spark.createDataFrame([], c.schema).write.parquet(path)
     return spark.read.parquet(path)
+
+
+class ContractError(ValueError):
+    """A table that breaks its contract."""
+
+
+def check(df: DataFrame, c: Contract) -> DataFrame:
+    """``df`` if it has the contract's columns and types, no null where none may be, and unique keys."""
+    lacking = missing_columns(df, c)
+    if lacking:
+        raise ContractError(f"{c.name}: columns lacking or of another type: {', '.join(lacking)}")
+    bad = violations(df, c).where("n > 0").orderBy("rule").collect()
+    if bad:
+        raise ContractError(f"{c.name}: " + ", ".join(f"{r.rule} ({r.n})" for r in bad))
+    return df
+
+
+def insert_strictly(new: DataFrame, state: DataFrame, c: Contract) -> DataFrame:
+    """The rows to append to ``state``; a key that is there already, or twice in ``new``, is an error."""
+    keys = list(c.key)
+    twice = new.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys)
+    clash = new.select(*keys).join(state.select(*keys), keys, "left_semi").unionByName(twice).first()
+    if clash is not None:
+        raise ContractError(f"{c.name}: key given twice: {tuple(clash)}")
+    return new.select(*[f.name for f in c.schema])

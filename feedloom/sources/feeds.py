@@ -1,9 +1,7 @@
-"""Feed documents (RSS 2.0, Atom) to entry rows, parsed in the JVM, and the adapters around fetching."""
+"""Feed documents (RSS 2.0, Atom) to entry rows, parsed in the JVM."""
 
 from __future__ import annotations
 
-from typing import Protocol
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +12,6 @@ RSS = "channel struct<author: string, item: array<struct<title: string, link: st
 ATOM = "author struct<name: string>, entry array<struct<title: string, id: string, link: array<struct<_href: string, _rel: string>>, summary: string, author: struct<name: string>, published: string, updated: string>>"
 
 
-class Fetcher(Protocol):
-    """What brings documents: bytes by address. Tests give a table of documents instead."""
-
-    def __call__(self, url: str) -> bytes: ...
-
-
 def _clean(c: Column) -> Column:
     return F.coalesce(collapse(c), F.lit(""))
 

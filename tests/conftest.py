@@ -5,7 +5,8 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = ROOT
+# Workers need the library and the stand-ins for services that the tests define.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.path.dirname(os.path.abspath(__file__))])
 os.environ.setdefault("OMP_NUM_THREADS", "1")
 
 
