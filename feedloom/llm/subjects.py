@@ -49,34 +49,39 @@ def seeds(labels: DataFrame, subjects: list[str]) -> DataFrame:
 
 
 def segments(docs: DataFrame) -> DataFrame:
-    """(rid, seg, n, words array<long>): the segments of ``docs(rid, text)`` as codes of their words."""
+    """(rid, seg, n, phrases array<long>): the segments of ``docs(rid, text)`` with their different phrases.
+
+    A word is coded by 32 bits of its hash, a pair by those of both words, so a pair tells its words;
+    of v different words about v^2 / 2^33 pairs share a code and count as one word.
+    """
     part = docs.select("rid", F.posexplode(F.split(F.lower("text"), BREAK)).alias("at", "part"))
-    words = part.select("rid", "at", F.transform(F.regexp_extract_all("part", F.lit(WORD), F.lit(1)), lambda x: F.xxhash64(x)).alias("w")).where("size(w) > 0")
+    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(2**32 - 1))
+    words = part.select("rid", "at", F.transform(F.regexp_extract_all("part", F.lit(WORD), F.lit(1)), code).alias("w")).where("size(w) > 0")
     cut = F.transform(F.sequence(F.lit(0), F.expr(f"cast((size(w) - 1) div {SEGMENT} as int)")), lambda i: F.slice("w", i * SEGMENT + 1, F.lit(SEGMENT)))
-    some = words.select("rid", "at", F.posexplode(cut).alias("k", "words"))
-    return some.select("rid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("k")).alias("seg"), F.size("words").alias("n"), "words")
+    some = words.select("rid", "at", F.posexplode(cut).alias("k", "w"))
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w")), lambda a, b: F.shiftleft(a, 32).bitwiseOR(b))
+    pairs = F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<bigint>"))
+    return some.select("rid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("k")).alias("seg"), F.size("w").alias("n"), F.array_distinct(F.concat("w", pairs)).alias("phrases"))
 
 
 def edges(segs: DataFrame, *keep: str) -> DataFrame:
-    """(keep..., phrase, a, b): the segment's different phrases; a and b are the words of a pair."""
-    none = F.lit(None).cast("long")
-    one = F.transform("words", lambda w: F.struct(w.alias("phrase"), none.alias("a"), none.alias("b")))
-    two = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.struct(F.xxhash64(a, b).alias("phrase"), a.alias("a"), b.alias("b")))
-    two = F.when(F.size("words") > 1, two).otherwise(F.array().cast("array<struct<phrase: bigint, a: bigint, b: bigint>>"))
-    return segs.select(*keep, F.explode(F.array_distinct(F.concat(one, two))).alias("e")).select(*keep, "e.phrase", "e.a", "e.b")
+    """(keep..., phrase)"""
+    return segs.select(*keep, F.explode("phrases").alias("phrase"))
 
 
 def mass(given: DataFrame, k: int) -> DataFrame:
-    """(phrase, a, b, m): label mass of each phrase by subject, place k for none. ``given`` has edges
+    """(phrase, m): label mass of each phrase by subject, place k for none. ``given`` has edges
     with ``d``, k + 1 shares; sums are partial before the shuffle, so a common phrase is one row a task."""
     sums = F.array(*[F.sum(F.get("d", F.lit(i))) for i in range(k + 1)])
-    return given.groupBy("phrase").agg(F.min("a").alias("a"), F.min("b").alias("b"), sums.alias("m"))
+    return given.groupBy("phrase").agg(sums.alias("m"))
 
 
 def votes(by: DataFrame, k: int) -> DataFrame:
     """(phrase, subject, weight): the verified edges' votes; figures of speech have negative ones."""
     n = F.aggregate("m", F.lit(0.0), lambda a, x: a + x)
-    by = by.select("phrase", "a", "b", n.alias("n"), (F.array_position("m", F.array_max("m")) - 1).cast("int").alias("subject"), ((F.array_max("m") + 0.1) / (n + 1.1)).alias("weight"))
+    # The words of a pair; a lone word has no first one.
+    a, b = F.expr("shiftrightunsigned(phrase, 32)"), F.col("phrase").bitwiseAND(F.lit(2**32 - 1))
+    by = by.select("phrase", F.nullif(a, F.lit(0)).alias("a"), b.alias("b"), n.alias("n"), (F.array_position("m", F.array_max("m")) - 1).cast("int").alias("subject"), ((F.array_max("m") + 0.1) / (n + 1.1)).alias("weight"))
     by = storage.cut(by)
     kept = by.where((F.col("subject") < k) & (F.col("n") >= SUPPORT) & (F.col("weight") >= PURITY)).select("phrase", "subject", "weight", "a")
     figures = by.where(F.col("a").isNotNull() & (F.col("n") >= MIXED_SUPPORT) & ((F.col("subject") == k) | (F.col("weight") < MIXED)))
@@ -114,7 +119,7 @@ def spread(segs: DataFrame, led: DataFrame, state: DataFrame, k: int) -> DataFra
     whole = state.select("rid", F.when(F.col("trusted"), F.col("given")).alias("clamp"), F.when(F.col("trusted"), own).otherwise(F.concat("h", F.array(rest))).alias("whole"))
     one = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: (i == F.col("best")).cast("double"))
     mine = F.col("best").isNotNull() & (F.col("clamp").isNull() | F.array_contains("clamp", F.col("best")))
-    told = segs.join(led, ["rid", "seg"], "left").join(whole, "rid").select("words", F.when(mine, one).otherwise(F.col("whole")).alias("d"))
+    told = segs.join(led, ["rid", "seg"], "left").join(whole, "rid").select("phrases", F.when(mine, one).otherwise(F.col("whole")).alias("d"))
     return mass(edges(told, "d"), k)
 
 
@@ -141,7 +146,7 @@ def assign_subjects(documents: DataFrame, areas: DataFrame, labels: DataFrame, r
     own = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.when(size == 0, (i == k).cast("double")).otherwise(F.array_contains("given", i).cast("double") / size))
     told = docs.where("given IS NOT NULL").select("rid", own.alias("d"))
     told = edges(segs.join(storage.small_side(told, told.count()), "rid"), "rid", "d")
-    by = mass(told.groupBy("rid", "phrase").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.first("d").alias("d")), k)
+    by = mass(told.groupBy("rid", "phrase").agg(F.first("d").alias("d")), k)
     led, state = shares(segs, votes(by, k), docs, k)
     total = max(docs.count(), 1)
     for _ in range(rounds - 1):
