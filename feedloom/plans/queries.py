@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import jsonv, media
 from feedloom.functions.scoring import body_text, compile_terms, relevance
-from feedloom.functions.text import non_blank, py_strip
+from feedloom.functions.text import py_strip
 from feedloom.functions.times import strict_utc_z, utc_z
 from feedloom.operators import records, select, state
-from feedloom.plans import contracts, reports
-from feedloom.sources import feeds
-from feedloom.storage import table
+from feedloom.plans import contracts, reports, stage_queries
+from feedloom.storage import cut, table
 
 GROUPS = {
     "common": {"weight": 1, "terms": ["newsletter", "agent loop", "invoice", "statute", "vaccine", "classroom", "compiler"]},
@@ -46,7 +45,7 @@ _ITEMS = "u AS (SELECT item_id, min_by(source_type, inserted_at) source_type, mi
 
 def unique_items(spark: SparkSession, d: str) -> DataFrame:
     """Each item as it was first inserted."""
-    return state.first_per_key(table(spark, d, "items"), ["item_id"], [F.col("inserted_at")])
+    return state.first_of_few(table(spark, d, "items"), ["item_id"], [F.col("inserted_at")])
 
 
 def canonical_items(spark: SparkSession, d: str) -> DataFrame:
@@ -113,7 +112,8 @@ def gate_reasons(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quota_selection(spark: SparkSession, d: str) -> DataFrame:
-    rows = _gated(spark, d).where("reason IS NULL")
+    # Scored once: both cuts of the selection read what is written.
+    rows = cut(_gated(spark, d).where("reason IS NULL").select("item_id", "source_type", "published_at", "score"))
     best = select.quota_select(rows, F.col("source_type") == "newsletter", [F.desc("published_at"), F.col("item_id")], 60, 100)
     return best.select("item_id", "source_type", "score", "rank")
 
@@ -131,27 +131,6 @@ def unprocessed_candidates(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
-def _base(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates in base order, one row per item: its best; a cooldown from the retry fold of events."""
-    c = table(spark, d, "candidates").where("item_id IS NOT NULL")
-    ok = F.lit(True)
-    for x in ("item_id", "source_id", "url", "title"):
-        ok &= non_blank(x).isNotNull()
-    stype = F.lower(py_strip("source_type"))
-    ok &= stype.isin("newsletter", "youtube") & py_strip("published_at").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$") & (F.col("relevance_score") >= 0)
-    c = c.select("item_id", F.coalesce(stype, F.lit("")).alias("stype"), F.coalesce(F.lower(py_strip("source_id")), F.lit("")).alias("sid"), F.coalesce("relevance_score", F.lit(-9)).alias("score"), F.coalesce("published_at", F.lit("")).alias("pub"), F.coalesce(ok, F.lit(False)).alias("valid"))
-    best = state.first_per_key(c, ["item_id"], [-F.col("score"), F.col("valid").cast("int") * -1, F.col("pub"), F.col("stype"), F.col("sid")])
-    return best.withColumn("blocked", F.conv(F.substring("item_id", 1, 4), 16, 10).cast("int") % 7 == 0)
-
-
-def phased_selection(spark: SparkSession, d: str) -> DataFrame:
-    base = _base(spark, d)
-    # The base order as a struct: comparable, so no global numbering of all candidates is needed.
-    idx = F.struct((-F.col("score")).alias("a"), F.transform(F.split(F.regexp_replace("pub", r"\D", ""), ""), lambda x: -F.when(x != "", x.cast("int")).otherwise(0)).alias("b"), F.col("item_id").alias("c"))
-    picked = select.phased_select(base.withColumn("idx", idx), limit=60, cap=2, floor_first=20, floor_second=10)
-    return picked.select(F.col("idx.c").alias("item_id"), F.col("phase").cast("int").alias("phase"), "rank")
-
-
 def retry_fold(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     out = state.fold_retries(e, "user_id", "ts", F.col("event_type") == "error", F.when(F.col("event_type") == "error", "asr_failed"), after=2, hours=24, tie="event_id")
@@ -242,27 +221,12 @@ def prompts(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderkey", out.alias("prompt"))
 
 
-VTT = "WEBVTT\n\n1\n00:00:01.000 --> 00:00:02.500\n<c>Hello</c> there\nfriend\n\n01:02:03.25 --> 01:02:04.000\n\nNOTE x\n\n02:05.125 --> 02:06.000\nBye\n"
-
-
-def vtt_parse(spark: SparkSession, d: str) -> DataFrame:
-    one = spark.createDataFrame([(VTT,)], "t string").select(F.posexplode(media.vtt_cues("t")).alias("n", "c"))
-    return one.select("n", F.col("c.text").alias("text"), F.col("c.start").alias("start"))
-
-
 def proxy_order(spark: SparkSession, d: str) -> DataFrame:
     """How often each of seven attempts comes first."""
     rows = table(spark, d, "seen_items").select(F.get(media.rotated("external_id", [f"p{i}" for i in range(7)]), F.lit(0)).alias("first_attempt"))
     return rows.where("first_attempt IS NOT NULL").groupBy("first_attempt").agg(F.count("*").alias("n"))
 
 
-def feed_parse(spark: SparkSession, d: str) -> DataFrame:
-    rss = "<rss><channel><item><title> One  two </title><link>https://a.example/1</link><guid>g1</guid><pubDate>Tue, 02 Jan 2018 10:00:00 +0530</pubDate><description>d</description></item><item><title>Two</title><link>https://a.example/2</link></item></channel></rss>"
-    atom = '<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><author><name>Ann</name></author><entry><title>T</title><id>i1</id><link rel="self" href="https://b.example/s"/><link href="https://b.example/1"/><updated>2018-01-02T00:00:00Z</updated></entry></feed>'
-    src = spark.createDataFrame([("newsletter", "a", "A", "2018-02-01T00:00:00Z", rss), ("newsletter", "b", "B", "2018-02-01T00:00:00Z", atom)], "source_type string, source_id string, source_name string, fetched_at string, body string")
-    return feeds.entries(src).select("source_id", "feed_pos", "creator", "title", "url", "published_at", "external_id")
-
-
 def contract_report(spark: SparkSession, d: str) -> DataFrame:
     out = None
     for name in ("seen_items", "items", "candidates", "enriched_items"):
@@ -283,13 +247,13 @@ def run_report(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("created_at").agg(F.count("*").alias("n_rows"), F.countDistinct("item_id").alias("n_items"), F.count_if(ts.isNull()).alias("n_bad_time"), F.count_if(F.coalesce("relevance_score", F.lit(-1)) < 0).alias("n_bad_score"))
 
 
-_NAMES = """canonical_items reject_counts json_reject_reasons cap_per_source recency_filter seen_dedup relevance_score gate_reasons quota_selection
-relevance_topk unprocessed_candidates phased_selection retry_fold retry_upsert evidence_snippets evidence_texts keyword_lists word_counts script_validation
-video_ids idea_rows capped_delivery sheet_upsert delivery_messages prompts vtt_parse proxy_order feed_parse contract_report transcript_assembly run_report""".split()
+_NAMES = """canonical_items reject_counts json_reject_reasons cap_per_source recency_filter seen_dedup relevance_score gate_reasons quota_selection relevance_topk
+unprocessed_candidates retry_fold retry_upsert evidence_snippets evidence_texts keyword_lists word_counts script_validation video_ids idea_rows
+capped_delivery sheet_upsert delivery_messages prompts proxy_order contract_report transcript_assembly run_report""".split()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: globals()[n] for n in _NAMES}
+    return {n: globals()[n] for n in _NAMES} | {n: getattr(stage_queries, n) for n in stage_queries.NAMES}
 
 
 def _gated_sql() -> str:
@@ -324,14 +288,14 @@ def oracle_sql() -> dict[str, str]:
         "sheet_upsert": "SELECT CAST(o_orderkey AS VARCHAR) AS item_id, CASE WHEN o_orderkey % 2 = 0 THEN 'update' ELSE 'insert' END AS action, o_orderpriority AS title, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'New' END AS status, CASE WHEN o_orderkey % 2 = 0 THEN 'kept' ELSE '' END AS notes FROM orders WHERE o_orderkey % 3 = 0",
         "delivery_messages": f"WITH u AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY inserted_at) AS k FROM items), m AS (SELECT item_id, 'Hook: ' || coalesce({_STRIP.format('title')}, '') || chr(10) || chr(10) || 'Setup: ' || source_id || chr(10) || chr(10) || 'Steps:' || chr(10) || content_text || chr(10) || chr(10) || 'CTA: ' || url AS t FROM u WHERE k = 1 AND content_text IS NOT NULL AND url IS NOT NULL AND source_id IS NOT NULL) SELECT item_id, CASE WHEN length(t) > 400 THEN substring(t, 1, 400) || '...(truncated)' ELSE t END AS message FROM m",
         "prompts": "SELECT o_orderkey, 'Rate ' || o_orderpriority || ' of ' || CAST(o_orderkey AS VARCHAR) || ': ' || o_orderpriority AS prompt FROM orders",
-        "vtt_parse": "SELECT * FROM (VALUES (0, 'Hello there friend', 1.0::DOUBLE), (1, 'Bye', 125.125::DOUBLE)) t(n, text, start)",
-        "feed_parse": "SELECT * FROM (VALUES ('a', 0, 'A', 'One two', 'https://a.example/1', '2018-01-02T04:30:00Z', 'g1'), ('a', 1, 'A', 'Two', 'https://a.example/2', '2018-02-01T00:00:00Z', sha256('https://a.example/2')), ('b', 0, 'Ann', 'T', 'https://b.example/1', '2018-01-02T00:00:00Z', 'i1')) t(source_id, feed_pos, creator, title, url, published_at, external_id)",
         "transcript_assembly": "SELECT user_id, md5(string_agg(event_type, ' ' ORDER BY ts, event_id)) AS text_md5, count(*) AS n FROM events GROUP BY 1",
         "run_report": "SELECT created_at, count(*) AS n_rows, count(DISTINCT item_id) AS n_items, count(*) FILTER (NOT coalesce(regexp_full_match(trim(published_at), '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z'), false)) AS n_bad_time, count(*) FILTER (coalesce(relevance_score, -1) < 0) AS n_bad_score FROM candidates GROUP BY 1",
         "video_ids": r"WITH u AS (SELECT DISTINCT url, trim(url, chr(32)||chr(9)||chr(10)||chr(13)||chr(160)) AS t FROM raw_items), p AS (SELECT url, lower(regexp_extract(t, '^https?://([^/?#:]+)', 1)) AS host, regexp_extract(t, '^https?://[^/?#]*([^?#]*)', 1) AS path, '&' || regexp_extract(t, '^[^?#]*\?([^#]*)', 1) AS q FROM u), v AS (SELECT url, CASE WHEN host IN ('vidtube.example', 'www.vidtube.example') THEN coalesce(nullif(regexp_extract(q, '&v=([^&]+)', 1), ''), nullif(regexp_extract(path, '^/+(?i:shorts|embed)/+([^/]+)', 1), '')) WHEN host = 'vdtu.example' THEN regexp_extract(path, '^/+([^/]+)', 1) END AS video_id FROM p) SELECT video_id, count(*) AS n_spellings FROM v WHERE regexp_full_match(video_id, '[A-Za-z0-9_-]{11}') GROUP BY 1",
-        "phased_selection": _phased_sql(),
         "contract_report": _contract_sql(),
-    }
+        "json_reject_reasons": _json_sql(),
+        "script_validation": _script_sql(),
+        "proxy_order": "SELECT 'p' || CAST(list_reduce(list_transform(string_split(sha256(external_id), ''), lambda h: CAST(strpos('0123456789abcdef', h) - 1 AS BIGINT)), lambda a, h: (a * 16 + h) % 7) AS VARCHAR) AS first_attempt, count(*) AS n FROM seen_items WHERE external_id IS NOT NULL GROUP BY 1",
+    } | stage_queries.oracle_sql()
 
 
 def _contract_sql() -> str:
@@ -343,20 +307,19 @@ def _contract_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-def _phased_sql() -> str:
-    blank = lambda c: f"regexp_matches(coalesce({c}, ''), '[^ \\t\\n\\r]')"
-    strip = lambda c: _STRIP.format(c)
-    return f"""WITH c AS (SELECT item_id, coalesce(lower({strip('source_type')}), '') AS stype, coalesce(lower({strip('source_id')}), '') AS sid, coalesce(relevance_score, -9) AS score, coalesce(published_at, '') AS pub,
-coalesce({blank('item_id')} AND {blank('source_id')} AND {blank('url')} AND {blank('title')} AND lower({strip('source_type')}) IN ('newsletter', 'youtube') AND regexp_full_match({strip('published_at')}, '\\d{{4}}-\\d{{2}}-\\d{{2}}T\\d{{2}}:\\d{{2}}:\\d{{2}}Z') AND relevance_score >= 0, false) AS valid FROM candidates WHERE item_id IS NOT NULL),
-b AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, valid DESC, pub, stype, sid) AS k FROM c),
-e AS (SELECT *, row_number() OVER (ORDER BY score DESC, regexp_replace(pub, '\\D', '', 'g') DESC, item_id) AS idx FROM b WHERE k = 1 AND valid AND CAST('0x' || substring(item_id, 1, 4) AS INT) % 7 <> 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY stype, sid ORDER BY idx) AS rk FROM e),
-f0 AS (SELECT *, row_number() OVER (PARTITION BY stype ORDER BY idx) AS fr FROM r WHERE rk <= 2),
-floor_ AS (SELECT idx, item_id, stype, sid, CASE WHEN stype = 'newsletter' THEN 1 ELSE 2 END AS phase FROM f0 WHERE (stype = 'newsletter' AND fr <= 20) OR (stype = 'youtube' AND fr <= 10)),
-dv AS (SELECT idx, item_id, stype, sid, 3 AS phase FROM (SELECT *, row_number() OVER (ORDER BY idx) AS n FROM r ANTI JOIN floor_ USING (stype, sid) WHERE rk = 1) WHERE n <= 60 - (SELECT count(*) FROM floor_)),
-s1 AS (SELECT * FROM floor_ UNION ALL SELECT * FROM dv),
-cnt AS (SELECT stype, sid, count(*) AS c FROM s1 GROUP BY ALL),
-rm AS (SELECT r.*, row_number() OVER (PARTITION BY r.stype, r.sid ORDER BY r.idx) AS r2 FROM r ANTI JOIN s1 USING (idx)),
-rest AS (SELECT rm.idx, rm.item_id, rm.stype, rm.sid, 4 AS phase, row_number() OVER (ORDER BY rm.idx) AS n FROM rm LEFT JOIN cnt USING (stype, sid) WHERE r2 <= 2 - coalesce(c, 0)),
-al AS (SELECT idx, item_id, phase FROM s1 UNION ALL SELECT idx, item_id, phase FROM rest WHERE n <= 60 - (SELECT count(*) FROM s1))
-SELECT item_id, phase, rank FROM (SELECT *, row_number() OVER (ORDER BY phase, idx) AS rank FROM al) WHERE rank <= 60"""
+def _json_sql() -> str:
+    fields = (*records.REQUIRED, *records.OPTIONAL)
+    wrong = " OR ".join(f"coalesce(json_type(j, '$.{f}') <> 'VARCHAR', false)" for f in fields)
+    strip = lambda f: f"coalesce(trim(json_extract_string(j, '$.{f}'), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)), '')"
+    missing = " OR ".join(f"{strip(f)} = ''" for f in records.REQUIRED)
+    return f"""WITH v AS (SELECT CASE WHEN json_valid(raw_item_json) THEN raw_item_json END AS j FROM items WHERE regexp_matches(raw_item_json, '[^ \\t\\n\\r]'))
+SELECT CASE WHEN j IS NULL THEN 'invalid_json' WHEN json_type(j) <> 'OBJECT' THEN 'not_an_object' WHEN {wrong} THEN 'invalid_field_types' WHEN {missing} THEN 'missing_required_fields'
+WHEN try_cast({strip("published_at")} AS TIMESTAMPTZ) IS NULL OR try_cast({strip("fetched_at")} AS TIMESTAMPTZ) IS NULL THEN 'invalid_timestamps' END AS reason, count(*) AS n FROM v GROUP BY 1"""
+
+
+def _script_sql() -> str:
+    """The parts are known from how the payload is made; the words are counted in SQL."""
+    return r"""WITH d AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[^A-Za-z ]+', ' ', 'g'), ' ') AS t, 30 + doc_id % 60 AS sec, doc_id % 5 = 0 AS stop, doc_id % 3 = 0 AS prose FROM documents),
+w AS (SELECT *, substring(t, 1, 30) AS h FROM d),
+n AS (SELECT *, len(regexp_extract_all(h || ' ' || t || ' - one' || chr(10) || '- two' || chr(10) || '- three go', '[A-Za-z0-9]+(?:[''-][A-Za-z0-9]+)*')) AS words FROM w)
+SELECT doc_id, trim(h) <> '' AND NOT stop AND CASE WHEN prose THEN words >= 180 AND sec BETWEEN 70 AND 110 ELSE words >= 120 AND sec BETWEEN 45 AND 70 END AS valid FROM n"""
