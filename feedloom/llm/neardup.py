@@ -14,7 +14,9 @@ all distinct sequences in either. Exact copies (equal word sequences) are one cl
 Pairs to look at come from agreeing minima of hashed sequences in one of BANDS bands of ROWS minima:
 references alone cannot propose pairs, as all unrelated fingerprints lie about equally far from any
 reference (see the README for figures). A pair at similarity s is proposed with probability
-1 - (1 - s^ROWS)^BANDS.
+1 - (1 - s^ROWS)^BANDS. The distance to one reference, the empty set, is the size; it goes along with
+every band, so that texts of which one has over twice the sequences of the other never become a pair.
+Each text is split into words once: one pass gives its class, its minima and its fingerprint.
 """
 
 from __future__ import annotations
@@ -36,9 +38,8 @@ LEAST_WORDS = 40
 SIMILARITY = 0.5
 BANDS, ROWS = 80, 5
 BITS, PIVOTS = 512, 32
-#: Copies per pair of classes up to which :func:`pairs_of_items` writes out all pairs of items; beyond, it
-#: links them through the classes' representatives.
-COPIES = 64
+#: Steps of size in a doubling, and the step's place above the running number of a text.
+SIZE_STEPS, SIZE_BIT = 8, 52
 #: Items of a class in one chunk, by which :func:`every_pair` deals out the pairs of large classes.
 CHUNK = 128
 
@@ -114,19 +115,29 @@ def pivot_row(bits: np.ndarray) -> np.ndarray:
     return np.concatenate([[total, BITS - total], total + _SLICES.sum(1) - 2 * inside]).astype(np.int16)
 
 
-def signatures(texts: DataFrame) -> DataFrame:
-    """(cls, n, band array<long>, bits binary, pivots binary) of every text (cls, text)."""
+def signatures(items: DataFrame) -> DataFrame:
+    """(item_id, text_key, cls, n, band array<long>, bits binary, pivots binary) of every row of
+    ``items(item_id, content_text)`` with at least LEAST_WORDS words; equal word sequences, equal cls.
+
+    Null ids and null, blank and short texts give none.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for cls, text in zip(b["cls"], b["text"], strict=True):
-                codes = sequences(words(text))
+            for item, key, text in zip(b["item_id"], b["text_key"], b["text"], strict=True):
+                ws = words(text)
+                if len(ws) < LEAST_WORDS:
+                    continue
+                cls = int.from_bytes(hashlib.blake2b(" ".join(ws).encode(), digest_size=8).digest(), "little", signed=True)
+                codes = sequences(ws)
                 bits = fingerprint(codes)
-                rows.append((cls, len(codes), bands(codes), np.packbits(bits).tobytes(), pivot_row(bits).tobytes()))
-            yield pd.DataFrame(rows, columns=["cls", "n", "band", "bits", "pivots"])
+                rows.append((item, key, cls, len(codes), bands(codes), np.packbits(bits).tobytes(), pivot_row(bits).tobytes()))
+            yield pd.DataFrame(rows, columns=["item_id", "text_key", "cls", "n", "band", "bits", "pivots"])
 
-    return texts.mapInPandas(run, "cls long, n int, band array<long>, bits binary, pivots binary")
+    known = items.where("item_id IS NOT NULL AND content_text IS NOT NULL")
+    texts = known.select("item_id", F.xxhash64("content_text").alias("text_key"), F.col("content_text").alias("text"))
+    return texts.mapInPandas(run, "item_id string, text_key long, cls long, n int, band array<long>, bits binary, pivots binary")
 
 
 def discard(pairs: DataFrame) -> DataFrame:
@@ -149,44 +160,26 @@ def discard(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("stage", stage("na", "nb", "pa", "pb", "xa", "xb"))
 
 
-def classes(items: DataFrame) -> DataFrame:
-    """(item_id, cls, text): items with at least LEAST_WORDS words; equal word sequences, equal cls.
-
-    Null ids and null, blank and short texts are in no class; repeated rows count once.
-    """
-
-    @F.pandas_udf("struct<enough boolean, code long>")
-    def code(s: pd.Series) -> pd.DataFrame:
-        out = []
-        for t in s:
-            ws = words(t) if t is not None else []
-            digest = hashlib.blake2b(" ".join(ws).encode(), digest_size=8).digest()
-            out.append((len(ws) >= LEAST_WORDS, int.from_bytes(digest, "little", signed=True)))
-        return pd.DataFrame(out, columns=["enough", "code"])
-
-    # A deterministic function would be pushed into the filter and computed twice a row.
-    df = items.where("item_id IS NOT NULL AND content_text IS NOT NULL").select("item_id", "content_text").withColumn("c", code.asNondeterministic()("content_text"))
-    return df.where("c.enough").select("item_id", F.col("c.code").alias("cls"), F.col("content_text").alias("text"))
-
-
-def links(texts: DataFrame) -> DataFrame:
-    """(a, b), a < b: the classes whose texts are linked. ``texts(cls, text)``, one row per class."""
-    spark = texts.sparkSession
-    path = storage.scratch(spark, "signatures")
+def links(sig: DataFrame, items: DataFrame) -> DataFrame:
+    """(a, b), a < b: the classes whose texts are linked. ``sig`` as stored by :func:`linked_classes`,
+    one row per class."""
     # Small running numbers shuffle better than class codes, and 40 bits of a band's hash are enough.
-    signatures(texts).withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
-    sig = spark.read.parquet(path)
-    rows = sig.select("id", F.posexplode("band").alias("p", "v")).select(F.shiftleft(F.col("p").cast("long"), 40).bitwiseOR(F.col("v").bitwiseAND(F.lit(2**40 - 1))).alias("v"), "id")
-    # Large buckets are fine: sort-merge joins stream them, and AQE splits skewed ones.
-    pairs = rows.alias("x").join(rows.alias("y"), "v").where("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    light = sig.select("id", "cls", "n", "bits", "pivots")
-    left = light.select(F.col("id").alias("a"), F.col("cls").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("xa"), F.col("pivots").alias("pa"))
-    right = light.select(F.col("id").alias("b"), F.col("cls").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("xb"), F.col("pivots").alias("pb"))
-    kept = discard(pairs.join(left, "a").join(right, "b")).where("stage = 2").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
-    return verify(storage.cut(kept), texts)
-
+    size = F.floor(F.log2("n") * SIZE_STEPS).cast("long")
+    rows = sig.select(F.shiftleft(size, SIZE_BIT).bitwiseOR(F.col("id")).alias("id"), F.posexplode("band").alias("p", "v")).select(F.shiftleft(F.col("p").cast("long"), 40).bitwiseOR(F.col("v").bitwiseAND(F.lit(2**40 - 1))).alias("v"), "id")
+    # Sort-merge joins stream large buckets, and AQE splits skewed ones. In order of id sizes grow.
+    near = F.shiftright("y.id", SIZE_BIT) - F.shiftright("x.id", SIZE_BIT) <= SIZE_STEPS * -np.log2(SIMILARITY) + 1
+    number = lambda c: F.col(c).bitwiseAND(F.lit(2**SIZE_BIT - 1))
+    pairs = rows.alias("x").join(rows.alias("y"), "v").where((F.col("x.id") < F.col("y.id")) & near).select(number("x.id").alias("a"), number("y.id").alias("b")).distinct()
+    light = sig.select("id", "cls", "n", "bits", "pivots", "text_key")
+    left = light.select(F.col("id").alias("a"), F.col("cls").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("xa"), F.col("pivots").alias("pa"), F.col("text_key").alias("ta"))
+    right = light.select(F.col("id").alias("b"), F.col("cls").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("xb"), F.col("pivots").alias("pb"), F.col("text_key").alias("tb"))
+    kept = discard(pairs.join(left, "a").join(right, "b")).where("stage = 2")
+    return verify(storage.cut(kept.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "ta", "tb")), items)
+
+
+def verify(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (a, b, ta, tb) whose texts, of keys ta and tb, are linked."""
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
         memo: dict[str, np.ndarray] = {}
@@ -205,35 +198,26 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             out.append(both >= SIMILARITY * (len(a) + len(b) - both) and both > 0)
         return pd.Series(out, dtype="bool")
 
-    one = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
-    two = one.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
-    return two.where(linked("ta", "tb")).select("a", "b")
+    # Of all texts only those of some pair are shuffled.
+    used = storage.cut(pairs.select(F.explode(F.array("ta", "tb")).alias("key")).distinct())
+    texts = items.where("content_text IS NOT NULL").select(F.xxhash64("content_text").alias("key"), F.col("content_text").alias("text"))
+    texts = storage.cut(texts.join(storage.small_side(used, used.count()), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")))
+    one = pairs.join(texts.select(F.col("key").alias("ta"), F.col("text").alias("x")), "ta")
+    two = one.join(texts.select(F.col("key").alias("tb"), F.col("text").alias("y")), "tb")
+    return two.where(linked("x", "y")).select("a", "b")
 
 
 def linked_classes(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(membership(item_id, cls), links(a, b)) of ``items(item_id, content_text)``."""
-    all_ = classes(items)
-    member = storage.cut(all_.select("item_id", "cls").distinct())
-    texts = storage.cut(all_.groupBy("cls").agg(F.min("text").alias("text")))
-    return member, storage.cut(links(texts))
-
-
-def pairs_of_items(member: DataFrame, link: DataFrame) -> DataFrame:
-    """(item_id_a, item_id_b): a short form of the links. Copies are written out up to COPIES per pair of
-    classes; larger classes are linked copy by copy to their representative, the least item_id. All pairs
-    are those of :func:`every_pair`."""
-    size = member.groupBy("cls").agg(F.count("*").alias("n"), F.min("item_id").alias("rep"))
-    m = member.join(size, "cls")
-    small = m.where(F.col("n") * F.col("n") <= COPIES * COPIES)
-    inside = small.alias("x").join(small.where("n > 1").alias("y"), "cls").where("x.item_id < y.item_id").select(F.col("x.item_id").alias("p"), F.col("y.item_id").alias("q"))
-    star = m.where(F.col("n") > COPIES).where("item_id <> rep").select(F.col("rep").alias("p"), F.col("item_id").alias("q"))
-    sized = link.join(size.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-    sized = sized.withColumn("all", F.col("na") * F.col("nb") <= COPIES)
-    ends = m.select("cls", "item_id", (F.col("item_id") == F.col("rep")).alias("is_rep"))
-    x = sized.join(ends.select(F.col("cls").alias("a"), F.col("item_id").alias("p"), F.col("is_rep").alias("ra")), "a").where("all OR ra")
-    x = x.join(ends.select(F.col("cls").alias("b"), F.col("item_id").alias("q"), F.col("is_rep").alias("rb")), "b").where("all OR rb")
-    every = inside.unionByName(star).unionByName(x.select("p", "q")).where("p <> q")
-    return every.select(F.least("p", "q").alias("item_id_a"), F.greatest("p", "q").alias("item_id_b")).distinct()
+    """(membership(item_id, cls), links(a, b)) of ``items(item_id, content_text)``; repeated rows count once."""
+    spark, path = items.sparkSession, storage.scratch(items.sparkSession, "signatures")
+    signatures(items).withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
+    sig = spark.read.parquet(path)
+    member = storage.cut(sig.select("item_id", "cls").distinct())
+    # One row stands for a class; those beside it are left out by their numbers, so no signature is shuffled.
+    first = sig.groupBy("cls").agg(F.min("id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    more = storage.cut(sig.select("cls", "id").join(first, "cls").where("id <> first").select("id"))
+    one = sig.join(storage.small_side(more, more.count()), "id", "left_anti")
+    return member, storage.cut(links(one, items))
 
 
 def every_pair(member: DataFrame, link: DataFrame) -> DataFrame:
@@ -299,12 +283,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    """(item_id, group_id, n_links): every item of at least LEAST_WORDS words with its group and the
-    number of classes its class is linked to. group_id is the least class id of the group."""
+    """(item_id, cls, group_id, n_links): every item of at least LEAST_WORDS words with its class, its
+    group and the number of classes its class is linked to. group_id is the least class id of the group."""
     member, link = linked_classes(storage.table(spark, d, "items").select("item_id", "content_text"))
     group = components(member.select("cls").distinct(), link)
     n = link.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
-    return member.join(group, "cls").join(n, "cls", "left").select("item_id", F.col("group").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return member.join(group, "cls").join(n, "cls", "left").select("item_id", "cls", F.col("group").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 SQL: dict[str, str] = {}

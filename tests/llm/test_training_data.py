@@ -55,12 +55,12 @@ def test_near_duplicates_equal_brute_force(spark):
                 t[rng.randrange(len(t))] = rng.choice(vocab)
             rows.append((f"{b}-{k}", " ".join(t)))
     rows += [("copy1", rows[0][1].upper()), ("copy2", rows[0][1] + "."), ("copy1", rows[0][1].upper()), ("none", None), ("blank", " "), ("short", "a b c"), (None, rows[0][1]), ("long", " ".join(rng.choice(vocab) for _ in range(30_000)))]
-    got = {tuple(r) for r in neardup.pairs_of_items(*neardup.linked_classes(spark.createDataFrame(rows, "item_id string, content_text string"))).collect()}
+    got = {tuple(r) for r in neardup.every_pair(*neardup.linked_classes(spark.createDataFrame(rows, "item_id string, content_text string"))).collect()}
     sets = {i: {tuple(w[j : j + 3]) for j in range(len(w) - 2)} for i, t in rows if i and t and len(w := neardup.words(t)) >= 40}
     want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b])}
     near = {(a, b) for a, b in want if len(sets[a] & sets[b]) >= 0.65 * len(sets[a] | sets[b])}
     assert len(near) > 30 and got <= want and near <= got and len(got) >= 0.9 * len(want)
-    assert neardup.pairs_of_items(*neardup.linked_classes(spark.createDataFrame([], "item_id string, content_text string"))).count() == 0
+    assert neardup.every_pair(*neardup.linked_classes(spark.createDataFrame([], "item_id string, content_text string"))).count() == 0
 
 
 def test_fingerprints_only_disprove(spark):
@@ -76,24 +76,8 @@ def test_fingerprints_only_disprove(spark):
         assert table <= hamming <= apart
 
 
-def test_large_groups_of_copies_keep_their_links(spark):
-    n = neardup.COPIES + 5
-    member = spark.createDataFrame([(f"c{i:03d}", 1) for i in range(n)] + [("x", 2)], "item_id string, cls long")
-    got = neardup.pairs_of_items(member, spark.createDataFrame([(1, 2)], "a long, b long")).collect()
-    parent = {}
-
-    def find(v):
-        while parent.setdefault(v, v) != v:
-            v = parent[v]
-        return v
-
-    for a, b in got:
-        parent[find(a)] = find(b)
-    assert len({find(v) for v in parent}) == 1 and len(parent) == n + 1 and len(got) == n
-
-
 def test_every_pair_of_large_linked_classes(spark):
-    sizes = {1: neardup.COPIES + 5, 2: 9, 3: 8, 4: 1, 5: 2 * neardup.CHUNK + 40}
+    sizes = {1: 69, 2: 9, 3: 8, 4: 1, 5: 2 * neardup.CHUNK + 40}
     rows = [(f"{c}-{i:03d}", c) for c, n in sizes.items() for i in range(n)]
     rows += [("1-000", 2), ("2-000", 3), ("both", 3), ("both", 5)]  # ids with several texts
     links = {(1, 4), (2, 3), (3, 5)}
@@ -114,6 +98,15 @@ def test_p2_found_writes_out_all_copies(spark, tmp_path):
     assert sorted(got) == [(p, q) for p in ids for q in ids if p < q]
 
 
+def test_groups_carry_their_classes(spark, tmp_path):
+    text = [" ".join(f"w{i * 100 + k}" for k in range(50)) for i in range(2)]
+    rows = [("a", text[0]), ("b", text[0].upper()), ("c", text[0] + " more"), ("d", text[1]), ("d", text[1]), ("e", "short"), (None, text[0])]
+    spark.createDataFrame(rows, "item_id string, content_text string").write.parquet(str(tmp_path / "items.parquet"))
+    got = {r.item_id: r for r in neardup.p2_groups(spark, str(tmp_path)).collect()}
+    assert got.keys() == set("abcd") and got["a"].cls == got["b"].cls != got["c"].cls
+    assert got["a"].group_id == got["c"].group_id != got["d"].group_id and [got[i].n_links for i in "abcd"] == [1, 1, 1, 0]
+
+
 def test_components(spark):
     nodes = spark.createDataFrame([(i,) for i in range(12)], "cls long")
     edges = spark.createDataFrame([(i, i + 1) for i in range(8)] + [(9, 10)], "a long, b long")
