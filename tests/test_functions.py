@@ -44,7 +44,7 @@ def test_json_lists_and_evidence(spark):
 
 @pytest.mark.parametrize(
     ("url", "want"),
-    [("https://www.youtube.com/watch?v=&v=abcdefghijk", "abcdefghijk"), ("https://youtu.be/abcdefghijk?t=1", "abcdefghijk"), ("https://m.youtube.com/shorts/abcdefghijk/", "abcdefghijk"), ("https://youtube.com/embed/abcdefghijk", "abcdefghijk"), ("ftp://youtu.be/abcdefghijk", None), ("https://youtu.be/short", None), (None, None)],
+    [("https://www.youtube.com/watch?v=&v=abcdefghijk", "abcdefghijk"), ("https://youtu.be/abcdefghijk?t=1", "abcdefghijk"), ("https://m.youtube.com/shorts/abcdefghijk/", "abcdefghijk"), ("https://youtube.com/embed/abcdefghijk", "abcdefghijk"), ("ftp://youtu.be/abcdefghijk", None), ("https://music.youtube.com/watch?v=abcdefghijk", None), ("https://youtu.be/short", None), (None, None)],
 )
 def test_video_id(spark, url, want):
     assert one(spark, url, media.video_id("v")) == (want,)
@@ -53,6 +53,11 @@ def test_video_id(spark, url, want):
 def test_captions_steps_words_and_rotation(spark):
     vtt = "WEBVTT\n\n00:01.500 --> 00:02.000\n<b>Hi</b>\nyou\n\n\n00:03.000 --> x\n\n"
     assert [tuple(x) for x in one(spark, vtt, media.vtt_cues("v"))[0]] == [("Hi you", 1.5)]
+    for text, want in (("100:00:01", 360001.0), ("00:01.5", None), ("1:02", None), ("00:01,500", None), ("00:01.500 x", None)):
+        assert one(spark, text, media.vtt_seconds(F.col("v"))) == (want,)
+    for text, want in (("0.0625", "0.062"), ("2.0005", f"{2.0005:.3f}"), ("x", None), (None, None)):
+        assert one(spark, text, media.seconds_text("v")) == (want,)
+    assert one(spark, '{"a": 1}\n[2]\n{bad}\n', media.last_object("v")) == ('{"a": 1}',) and one(spark, "[1]", media.last_object("v")) == (None,)
     assert one(spark, "- a\r\n- b\n\n- c", media.steps_valid("v")) == (True,)
     assert one(spark, "- a\n- b", media.steps_valid("v")) == (False,)
     assert one(spark, "don't stop-it 3x", media.word_count("v")) == (3,)
@@ -61,3 +66,10 @@ def test_captions_steps_words_and_rotation(spark):
     import hashlib
 
     assert one(spark, "k", media.digest_mod(F.sha2("v", 256), 97)) == (int(hashlib.sha256(b"k").hexdigest(), 16) % 97,)
+
+
+def test_caption_files_are_read(spark, tmp_path):
+    from feedloom.sources.subtitles import read_captions
+
+    (tmp_path / "a.vtt").write_text("WEBVTT\n\n00:01.000 --> 00:02.000\nHi\n\n00:03.000 --> 00:04.000\n<i>you</i>\n")
+    assert [(r.n, r.text, r.start) for r in read_captions(spark, str(tmp_path)).orderBy("n").collect()] == [(0, "Hi", 1.0), (1, "you", 3.0)]

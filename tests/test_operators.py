@@ -75,6 +75,37 @@ def test_insert_if_absent_and_upsert(spark):
     assert sorted(map(tuple, up.collect())) == [("a", 1), ("b", 9)]
 
 
+@pytest.mark.parametrize("limit", [0, 1, 4, 100])
+def test_capped_scan_equals_loop(spark, limit):
+    rng = random.Random(limit)
+    rows = [(rng.randrange(4), rng.choice("xyz"), i, rng.choice([True, False, None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, i int, ok boolean")
+    got = select.capped_scan(df, F.col("ok"), [("a", True), ("b", False), ("i", True)], limit).collect()
+    want, n = [], 0
+    for r in sorted(rows, key=lambda r: (-r[0], r[1], -r[2])):
+        if n >= limit:
+            break
+        want.append((r[2], bool(r[3])))
+        n += bool(r[3])
+    # Rows after the last one that counts take nothing: those before it are all visited.
+    assert sorted((r.i, r.selected) for r in got) == sorted(want)
+
+
+def test_first_of_few_equals_first_per_key(spark):
+    rows = [("a", 2, "x"), ("a", 1, "y"), ("b", 1, "z"), (None, 3, "n"), (None, 2, "m")]
+    df = spark.createDataFrame(rows, "k string, at int, v string")
+    got = state.first_of_few(df, ["k"], [F.col("at")])
+    assert sorted(r.v for r in got.collect()) == ["m", "y", "z"] == sorted(r.v for r in state.first_per_key(df, ["k"], [F.col("at")]).collect())
+    assert state.first_of_few(df.limit(0), ["k"], [F.col("at")]).count() == 0
+
+
+def test_cooldown_blocks_until_its_time(spark):
+    rows = spark.createDataFrame([(x,) for x in ("past", "now", "later", "odd", "none", "new")], "item_id string")
+    until = [("past", "2024-01-01T00:00:00Z"), ("now", "2024-01-02T00:00:00Z"), ("later", " 2024-01-02T00:00:01Z "), ("odd", "tomorrow"), ("none", None)]
+    got = state.cooled_down(rows, spark.createDataFrame(until, "item_id string, next_eligible_at string"), "2024-01-02T00:00:00Z")
+    assert {r.item_id for r in got.where("blocked").collect()} == {"later"} and got.count() == 6
+
+
 def test_json_reasons_are_exclusive_and_ordered(spark):
     good = '{"external_id": "1", "url": "u", "title": "t", "published_at": "2020-01-01", "fetched_at": "2020-01-01T00:00:00Z"}'
     lines = [good, "{bad", "[]", good.replace('"t"', "42"), good.replace('"u"', '" "'), good.replace("2020-01-01\"", "x\"", 1), good.replace('"t"', "null"), "  "]
@@ -85,7 +116,16 @@ def test_json_reasons_are_exclusive_and_ordered(spark):
 def test_sheet_cells_and_prompts(spark):
     one = spark.range(1)
     assert one.select(records.cells(F.array(F.lit("a"), F.lit(None)), 3)).first()[0] == ["a", "", ""]
-    assert one.select(records.rendered("{{A}}{{B}}", {"A": F.lit("x")})).first()[0] is None
+    assert one.select(records.rendered("{{A}} {{B}} {{A}}", {"A": F.lit("x"), "B": F.lit("y")})).first()[0] == "x y x"
+    for template, values in (("{{A}}{{B}}", {"A": F.lit("x")}), ("{{A}}", {"A": F.lit("x"), "B": F.lit("y")}), (" ", {})):
+        with pytest.raises(records.PromptError):
+            records.rendered(template, values)
+    for value in (F.lit(None).cast("string"), F.lit("{{LATER}}")):
+        with pytest.raises(Exception, match="prompt"):
+            one.select(records.rendered("{{A}}", {"A": value})).first()
+    twice = spark.createDataFrame([("k", "t"), ("k", "u")], "item_id string, title string")
+    with pytest.raises(Exception, match="twice"):
+        records.sheet_upsert(twice, twice.limit(1), "item_id", [], {}).collect()
     assert one.select(records.script_text(*map(F.lit, "abcd"), 10)).first()[0] == "Hook: a\n\nS...(truncated)"
 
 
