@@ -49,24 +49,24 @@ def seeds(labels: DataFrame, subjects: list[str]) -> DataFrame:
 
 
 def segments(docs: DataFrame) -> DataFrame:
-    """(rid, seg, n, phrases array<long>): the segments of ``docs(rid, text)`` with their different phrases.
+    """(rid, seg, w array<int>): the segments of ``docs(rid, text)``, their words coded by 31 bits of a hash.
 
-    A word is coded by 32 bits of its hash, a pair by those of both words, so a pair tells its words;
-    of v different words about v^2 / 2^33 pairs share a code and count as one word.
+    Of v different words about v^2 / 2^32 pairs share a code and count as one word.
     """
     part = docs.select("rid", F.posexplode(F.split(F.lower("text"), BREAK)).alias("at", "part"))
-    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(2**32 - 1))
+    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(2**31 - 1)).cast("int")
     words = part.select("rid", "at", F.transform(F.regexp_extract_all("part", F.lit(WORD), F.lit(1)), code).alias("w")).where("size(w) > 0")
     cut = F.transform(F.sequence(F.lit(0), F.expr(f"cast((size(w) - 1) div {SEGMENT} as int)")), lambda i: F.slice("w", i * SEGMENT + 1, F.lit(SEGMENT)))
-    some = words.select("rid", "at", F.posexplode(cut).alias("k", "w"))
-    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w")), lambda a, b: F.shiftleft(a, 32).bitwiseOR(b))
-    pairs = F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<bigint>"))
-    return some.select("rid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("k")).alias("seg"), F.size("w").alias("n"), F.array_distinct(F.concat("w", pairs)).alias("phrases"))
+    return words.select("rid", "at", F.posexplode(cut).alias("k", "w")).select("rid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("k")).alias("seg"), "w")
 
 
 def edges(segs: DataFrame, *keep: str) -> DataFrame:
-    """(keep..., phrase)"""
-    return segs.select(*keep, F.explode("phrases").alias("phrase"))
+    """(keep..., phrase): the different phrases of each segment, words and pairs of neighbours. The code of
+    a pair holds those of both words; made here, as shuffling and storing words alone takes far less."""
+    words = F.transform("w", lambda x: x.cast("long"))
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w")), lambda a, b: F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long")))
+    pairs = F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<bigint>"))
+    return segs.select(*keep, F.explode(F.array_distinct(F.concat(words, pairs))).alias("phrase"))
 
 
 def mass(given: DataFrame, k: int) -> DataFrame:
@@ -94,7 +94,7 @@ def shares(segs: DataFrame, table: DataFrame, docs: DataFrame, k: int) -> tuple[
     """((rid, seg, best), (rid, doc_id, given, trusted, h)): the subject of every segment in which one
     clearly leads, and of every document the share of its words in segments of each subject."""
     table = storage.small_side(table, table.count())
-    hits = edges(segs, "rid", "seg", "n").join(table, "phrase")
+    hits = edges(segs.withColumn("n", F.size("w")), "rid", "seg", "n").join(table, "phrase")
     sums = F.array(*[F.greatest(F.lit(0.0), F.sum(F.when(F.col("subject") == i, F.col("weight")).otherwise(0.0))) for i in range(k)])
     led = hits.groupBy("rid", "seg").agg(F.first("n").alias("n"), sums.alias("v"))
     top = F.array_max("v")
@@ -119,7 +119,7 @@ def spread(segs: DataFrame, led: DataFrame, state: DataFrame, k: int) -> DataFra
     whole = state.select("rid", F.when(F.col("trusted"), F.col("given")).alias("clamp"), F.when(F.col("trusted"), own).otherwise(F.concat("h", F.array(rest))).alias("whole"))
     one = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: (i == F.col("best")).cast("double"))
     mine = F.col("best").isNotNull() & (F.col("clamp").isNull() | F.array_contains("clamp", F.col("best")))
-    told = segs.join(led, ["rid", "seg"], "left").join(whole, "rid").select("phrases", F.when(mine, one).otherwise(F.col("whole")).alias("d"))
+    told = segs.join(led, ["rid", "seg"], "left").join(whole, "rid").select("w", F.when(mine, one).otherwise(F.col("whole")).alias("d"))
     return mass(edges(told, "d"), k)
 
 
@@ -138,7 +138,7 @@ def assign_subjects(documents: DataFrame, areas: DataFrame, labels: DataFrame, r
     given = storage.cut(seeds(labels, subjects))
     texts = storage.cut(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("rid", F.monotonically_increasing_id()))
     segs = storage.cut(segments(texts))
-    docs = texts.select("rid", "doc_id").join(segs.groupBy("rid").agg(F.sum("n").alias("total")), "rid", "left")
+    docs = texts.select("rid", "doc_id").join(segs.groupBy("rid").agg(F.sum(F.size("w")).alias("total")), "rid", "left")
     docs = docs.join(storage.small_side(given, given.count()), "doc_id", "left").select("rid", "doc_id", "total", "given", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     docs = storage.cut(docs)
     # Seeds give their subjects to every phrase they have, once a document.
