@@ -5,6 +5,8 @@ They give NULL for null and blank values, so that such values never match anythi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +51,14 @@ def _unreserved(c: Column) -> Column:
     return F.when(c.contains("%"), F.array_join(F.transform(pieces, one), "")).otherwise(c)
 
 
-def with_page_key(df: DataFrame, text: str, out: str) -> DataFrame:
+def with_page_key(df: DataFrame, text: str, out: str, *, tracking: str = TRACKING, video_hosts: Sequence[str] = VIDEO_HOSTS, short_hosts: Sequence[str] = SHORT_VIDEO_HOSTS) -> DataFrame:
     """``df`` with ``out``: the page that the address in ``text`` names, whatever its spelling.
 
     Scheme, user, port, ``www.``/``m.``, fragment, closing slashes, tracking parameters, the order
     of the others, needless percent escapes and the case of the host don't count; the case of path
     and query does. All forms of a video's address give ``video:<id>``. The steps are columns of
-    their own so that each is computed once.
+    their own so that each is computed once. ``tracking`` matches the parameters that count nowhere;
+    sites that tell pages apart by one of these names need a narrower pattern.
     """
     keep = df.columns
     df = df.withColumn("__u", F.regexp_replace(F.regexp_replace(_clean(F.replace(F.col(text), F.lit("&amp;"), F.lit("&"))), r"(?i)^([a-z][a-z0-9+.-]*:)?//", ""), r"#.*$", ""))
@@ -64,13 +67,13 @@ def with_page_key(df: DataFrame, text: str, out: str) -> DataFrame:
         {
             "__host": F.regexp_replace(F.regexp_replace(F.lower("__authority"), r"^.*@|(:\d*)+$|\.$", ""), r"^((www|m|amp)\.)+", ""),
             "__path": F.regexp_replace(F.regexp_replace("__path", "/{2,}", "/"), r"(/index\.(html?|php))?/*$", ""),
-            "__pairs": F.when(F.col("__query") != "", F.array_sort(F.filter(F.split("__query", "&"), lambda p: (p != "") & ~p.rlike(TRACKING)))),
+            "__pairs": F.when(F.col("__query") != "", F.array_sort(F.filter(F.split("__query", "&"), lambda p: (p != "") & ~p.rlike(tracking)))),
         }
     )
     video = (
-        F.when(F.col("__host").isin(*SHORT_VIDEO_HOSTS), F.regexp_extract("__path", r"^/([^/]+)", 1))
-        .when(F.col("__host").isin(*VIDEO_HOSTS) & (F.col("__path") == "/watch"), F.regexp_extract(F.concat(F.lit("&"), "__query"), r"&v=([^&]+)", 1))
-        .when(F.col("__host").isin(*VIDEO_HOSTS), F.regexp_extract("__path", r"^/(?:embed|shorts|live|v|e)/([^/]+)$", 1))
+        F.when(F.col("__host").isin(*short_hosts), F.regexp_extract("__path", r"^/([^/]+)", 1))
+        .when(F.col("__host").isin(*video_hosts) & (F.col("__path") == "/watch"), F.regexp_extract(F.concat(F.lit("&"), "__query"), r"&v=([^&]+)", 1))
+        .when(F.col("__host").isin(*video_hosts), F.regexp_extract("__path", r"^/(?:embed|shorts|live|v|e)/([^/]+)$", 1))
     )
     df = df.withColumn("__video", video)
     page = F.concat("__host", "__path", F.when(F.size("__pairs") > 0, F.concat(F.lit("?"), F.array_join("__pairs", "&"))).otherwise(""))
