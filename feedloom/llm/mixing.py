@@ -56,6 +56,7 @@ def supply(sized: DataFrame, targets: DataFrame) -> DataFrame:
     budget_tokens count as 0; a source without documents has 0 tokens. Repeated targets are each
     reported.
     """
+    targets = targets.select("source", "weight", "max_repeats", "budget_tokens")
     have = sized.groupBy("source").agg(F.sum("tokens").alias("available"), F.count("*").alias("n_docs"))
     z = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("weight", "max_repeats", "budget_tokens")}
     out = targets.join(have, targets["source"].eqNullSafe(have["source"]), "left").select(targets["source"], *[v.alias(c) for c, v in z.items()], F.coalesce("available", F.lit(0)).alias("available"), F.coalesce("n_docs", F.lit(0)).alias("n_docs"))

@@ -35,6 +35,7 @@ def gaps(items: DataFrame, targets: DataFrame, category: list[str]) -> DataFrame
     target_ppm, min_count and sample_size count as 0. Categories without items have supply 0;
     repeated targets are reported each. No targets give no rows.
     """
+    targets = targets.select(*category, "target_ppm", "min_count", "sample_size")
     supply = items.groupBy(*category).agg(F.countDistinct("item_id").alias("supply"))
     n = [F.coalesce(F.col(c).cast("long"), F.lit(0)) for c in ("target_ppm", "sample_size", "min_count")]
     out = targets.withColumn("required", F.greatest(n[2], F.floor((n[0] * n[1] + 999_999) / F.lit(1_000_000)).cast("long")))
@@ -157,7 +158,7 @@ def sample(items: DataFrame, targets: DataFrame, category: list[str], seed: int
     drawn; an item of several categories counts in each. Targets fit the driver, as they are a list
     of categories; items never do. Nothing to draw gives an empty sample and a full report.
     """
-    spark = items.sparkSession
+    spark, items = items.sparkSession, items.select("item_id", *category)
     report = gaps(items, targets, category).orderBy(*category).collect()
     goal, _ = goals(report)
     supply = np.array([r["supply"] for r in report], float)

@@ -333,3 +333,42 @@ def test_subjects_spread_to_unlabelled_texts(spark):
         got.setdefault(r.doc_id, set()).add(r.subject)
     assert all(got[i] == {["law", "sport"][i % 2]} for i in range(40)) and got[100] == {"law", "sport"} and got[104] == {"law"}
     assert not {101, 102, 103} & set(got)
+
+
+def test_subjects_of_nothing(spark):
+    docs = spark.createDataFrame([(1, "the judge", "x", 5, 0), (None, "the judge", "y", 5, 0)], "doc_id long, text string, subject string, rid int, given int")
+    areas = spark.createDataFrame([("law",), (None,), ("law",)], "subject string")
+    labels = spark.createDataFrame([(1, "law", "a")], "doc_id long, subject string, labeller string")
+    for d, a, x in ((docs.limit(0), areas, labels), (docs, areas.limit(0), labels), (docs, areas, labels.limit(0))):
+        assert subjects.assign_subjects(d, a, x).count() == 0
+    # Labels that are trusted hold even without words; clashing columns do not matter.
+    both = labels.unionByName(spark.createDataFrame([(1, "law", "b")], labels.schema))
+    assert {(r.doc_id, r.subject) for r in subjects.assign_subjects(docs.withColumn("text", F.lit(None).cast("string")), areas, both).collect()} == {(1, "law")}
+
+
+def test_clashing_and_extra_columns(spark):
+    sized = spark.createDataFrame([(i, 30, "x", 1, 2, "s", i) for i in range(9)], "doc_id long, tokens long, container string, rest int, whole int, source string, __row long")
+    assert packing.pack(sized, spark.createDataFrame([("c", 100, 7)], "container string, capacity_tokens int, tokens int")).count() == 9
+    targets = spark.createDataFrame([("s", 1.0, 1, 100, 3.0, "u")], "source string, weight double, max_repeats int, budget_tokens long, copies double, available string")
+    assert [r.used for r in mixing.mixture(sized.withColumnRenamed("whole", "copies"), targets)[1].collect()] == [90]
+    items = spark.createDataFrame([(f"i{k}", "a", 9, k) for k in range(20)], "item_id string, source_type string, i int, pattern int")
+    goal = spark.createDataFrame([("a", 1_000_000, 0, 5, 1)], "source_type string, target_ppm int, min_count int, sample_size int, sampled int")
+    assert [r.sampled for r in proportions.sample(items, goal, ["source_type"])[1].collect()] == [5]
+
+
+def test_least_squares_places_most_pieces():
+    rng = np.random.default_rng(1)
+    have = Counter(int(x) for x in np.minimum(4000, 20 + rng.pareto(1.1, 20_000) * 60))
+    for cap in (512, 4096):
+        lengths, placed = Counter(), []
+        for n, c in have.items():
+            lengths[n if n <= cap else n % cap or cap] += c
+        runs = packing.plan(lengths, cap, placed)
+        load, taken = Counter(), Counter()
+        for n, at, many, first in runs:
+            assert at == taken[n]
+            taken[n] += many
+            for k in range(many):
+                load[first + k] += n
+        assert taken == lengths and max(load.values()) <= cap and sum(load.values()) > 0.99 * cap * len(load)
+        assert sum(placed) > 0.5 * sum(lengths.values())
