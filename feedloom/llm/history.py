@@ -13,7 +13,9 @@ the home cell of q, and cell j holding vectors at lo_j to hi_j from its centroid
 bound is below that distance, so no nearer match is possible elsewhere. Survivors are reranked exactly.
 A batch asks for matches at distance 0 (:meth:`CellIndex.known`): no bound lets another cell than home
 hold one, so only the batch's home cells are read, and the key itself decides. New keys are appended to
-the cells before the next batch; stored keys are never placed or written again.
+the cells before the next batches; stored keys are never placed or written again. Batches that are small beside
+the history are asked together, consecutive ones in order (:func:`rounds`), so that history is read a number of
+times that depends on neither its size nor theirs.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ LEAST_CELLS, CELL_ROOT = 8, 12
 FIT_ROWS = 20_000
 #: Rows of a file of the index, about.
 FILE_ROWS = 100_000
+#: Rows asked in one round, at least, as a share of the keys stored (a batch that has more is a round of its own).
+ROUND_SHARE = 0.1
 #: Stored keys and queries of one block of a search, about.
 BLOCK_STORED, BLOCK_QUERIES = 50_000, 5_000
 
@@ -252,13 +256,30 @@ def repeated_records(index: CellIndex, keys: DataFrame, *, record: str = "raw_id
     return repeats(keys, new_keys(index, keys, record=record, batch=batch, add=add), record)
 
 
+def rounds(sizes: dict, stored: int) -> list[list]:
+    """The batches of ``sizes`` (batch: rows) in order, nulls first, as lists of consecutive ones, each with
+    ROUND_SHARE of the keys stored at least (the last may have fewer); rows asked count as stored after their round."""
+    out, rows = [], 0
+    for b in sorted(sizes, key=lambda b: (b is not None, b)):
+        if not rows:
+            out.append([])
+        out[-1].append(b)
+        rows += sizes[b]
+        if rows >= ROUND_SHARE * stored:
+            stored, rows = stored + rows, 0
+    return out
+
+
 def batch_by_batch(index: CellIndex, keys: DataFrame, *, record: str = "raw_id", batch: str = "batch_id") -> DataFrame:
-    """(record, repeated) as :func:`repeated_records`, one batch after the other, each checked against
-    the cells as the batch before left them. Null batches come first; the list of batches fits the driver."""
+    """(record, repeated) as :func:`repeated_records`, one of :func:`rounds` after the other, each checked
+    against the cells as those before left them; within it order decides. The list of batches fits the driver."""
     fresh = None
-    batches = [r[0] for r in keys.select(batch).distinct().collect()]
-    for b in sorted(batches, key=lambda b: (b is not None, b)):
-        one = new_keys(index, keys.where(F.col(batch).eqNullSafe(F.lit(b))), record=record, batch=batch)
+    for some in rounds({r[0]: r[1] for r in keys.groupBy(batch).count().collect()}, index.stored().count()):
+        named = [b for b in some if b is not None]
+        here = F.col(batch).isNull() if len(named) < len(some) else F.lit(False)
+        # They are consecutive, and blocks of other batches are skipped by their bounds.
+        here = here | F.col(batch).between(named[0], named[-1]) if named else here
+        one = new_keys(index, keys.where(here), record=record, batch=batch)
         fresh = one if fresh is None else fresh.unionByName(one)
         index = CellIndex.open(index.spark, index.path)
     return repeats(keys, fresh, record) if fresh is not None else repeated_records(index, keys, record=record, batch=batch)

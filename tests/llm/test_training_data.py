@@ -249,6 +249,26 @@ def test_probing_by_bounds_finds_the_nearest(spark, monkeypatch, block):
     assert none.nearest(spark.createDataFrame([("a",)], "key string")).count() == 0
 
 
+def test_small_batches_share_a_reading_of_history(spark, monkeypatch):
+    asked = []
+    known = history.CellIndex.known
+    monkeypatch.setattr(history.CellIndex, "known", lambda self, placed: asked.append(placed.count()) or known(self, placed))
+    index = history.CellIndex.create(spark.createDataFrame([(f"u:{i}",) for i in range(100)], "key string"), storage.scratch(spark, "t"), cells=4)
+    # Batches of one row, nulls first; records 30 to 39 and 41 on repeat history or an earlier batch.
+    rows = [(i, None if i < 5 else i, f"u:{90 + i % 40 if i < 40 else 200 + i // 42}") for i in range(44)]
+    want, have = set(), {f"u:{i}" for i in range(100)}
+    for raw, _, key in rows:
+        if key in have:
+            want.add(raw)
+        have.add(key)
+    got = history.batch_by_batch(index, storage.cut(spark.createDataFrame(rows, "raw_id long, batch_id int, key string"))).where("repeated")
+    assert {r.raw_id for r in got.collect()} == want and index.stored().count() == len(have)
+    assert len(asked) <= 5
+    assert len(history.rounds({i: 10 for i in range(3_600)}, 100_000)) <= 4
+    # Large batches are asked alone.
+    assert history.rounds({2: 50, None: 60, 1: 40}, 100) == [[None], [1], [2]]
+
+
 # p6
 def test_packing_places_each_once_and_never_overfills(spark):
     rng = random.Random(7)
