@@ -11,11 +11,11 @@ the home cell of q, and cell j holding vectors at lo_j to hi_j from its centroid
 
 :meth:`CellIndex.nearest` takes the nearest in the home cell first and then visits the cells whose
 bound is below that distance, so no nearer match is possible elsewhere. Survivors are reranked exactly.
-A batch asks for matches at distance 0 (:meth:`CellIndex.known`): no bound lets another cell than home
-hold one, so only the batch's home cells are read, and the key itself decides. New keys are appended to
-the cells before the next batches; stored keys are never placed or written again. Batches that are small beside
-the history are asked together, consecutive ones in order (:func:`rounds`), so that history is read a number of
-times that depends on neither its size nor theirs.
+Batches ask for matches at distance 0 (:meth:`CellIndex.known`) by the same steps: cells and rings that the
+bounds leave, stored vectors there at exact distance 0, and among these the key itself decides, as keys may
+share a vector. New keys are appended to the cells before the next batches; stored keys are never placed or
+written again. Batches that are small beside the history are asked together, consecutive ones in order
+(:func:`rounds`), so that history is read a number of times that depends on neither its size nor theirs.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ FIT_ROWS = 20_000
 FILE_ROWS = 100_000
 #: Rows asked in one round, at least, as a share of the keys stored (a batch that has more is a round of its own).
 ROUND_SHARE = 0.1
+#: Distances that one step of a task holds at once.
+STEP_DISTANCES = 2_000_000
 #: Stored keys and queries of one block of a search, about.
 BLOCK_STORED, BLOCK_QUERIES = 50_000, 5_000
 
@@ -71,7 +73,8 @@ def fit_centroids(vectors: np.ndarray, cells: int, rounds: int = 6) -> np.ndarra
         total = np.zeros_like(c)
         np.add.at(total, home, v)
         c[n > 0] = total[n > 0] / n[n > 0, None]
-    return c
+    # Multiples of 1/256 keep every squared distance exact, so equal keys get one cell and ring in whatever batch they come.
+    return np.round(c * 256) / 256
 
 
 def distances(v: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -79,6 +82,23 @@ def distances(v: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((v * v).sum(1)[:, None] - 2 * v @ c.T + (c * c).sum(1), 0))
 
 
+def vectors(vec: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, vec)), np.uint8).reshape(-1, DIM)
+
+
+def least(d: np.ndarray, near: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Lower bounds of the distance to any vector of a cell, from those to its centroid (``d``) and the nearest one."""
+    return np.maximum(np.maximum(d - hi, lo - d), (d - near[:, None]) / 2)
+
+
+def steps(batches: Iterator[pd.DataFrame], cells: int) -> Iterator[pd.DataFrame]:
+    """``batches`` in pieces whose distances to ``cells`` centroids fit into memory, however many cells there are."""
+    size = max(1, STEP_DISTANCES // max(1, cells))
+    for b in batches:
+        for at in range(0, len(b), size):
+            yield b.iloc[at : at + size]
+
+
 def entry_keys(df: DataFrame, sources: DataFrame, source_id: str, external_id: str, url: str) -> DataFrame:
     """(columns of ``df`` but those three, key): 'e:<source>|<entry>' and 'u:<page>' of every row.
 
@@ -124,9 +144,7 @@ class CellIndex:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_table.schema)
 
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if not len(b):
-                    continue
+            for b in steps(batches, len(centroids)):
                 v = pair_counts(b["key"].tolist())
                 d = distances(v, centroids)
                 home = d.argmin(1)
@@ -145,31 +163,53 @@ class CellIndex:
     def stored(self) -> DataFrame:
         return self.spark.read.schema("key string, ring int, vec binary, cell int").parquet(f"{self.path}/cells")
 
+    def bounds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cells, lo, hi): the cells that hold vectors, and between which distances from their centroids these lie."""
+        by = self.stored().groupBy("cell").agg(F.min("ring").alias("lo"), F.max("ring").alias("hi")).collect()
+        lo, hi = (np.array([getattr(r, f) + k for r in by], float) / RINGS_PER_UNIT for f, k in (("lo", 0), ("hi", 1)))
+        return np.array([r.cell for r in by], int), lo, hi
+
+    def probes(self, placed: DataFrame) -> DataFrame:
+        """(key, vec, cell, ring): where the bounds allow a stored vector at distance 0 from those of
+        ``placed(key, vec)``: in a cell whose centroid is as near as the home cell's, at the same distance from it."""
+        centroids, (cells, lo, hi) = self.centroids, self.bounds()
+
+        def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in steps(batches, len(centroids)):
+                if not len(cells):
+                    continue
+                d = distances(vectors(b["vec"]), centroids)
+                near, d = d.min(1), d[:, cells]
+                row, at = np.nonzero(least(d, near, lo, hi) <= 0)
+                ring = np.floor(d[row, at] * RINGS_PER_UNIT)
+                yield pd.DataFrame({"key": b["key"].to_numpy()[row], "vec": b["vec"].to_numpy()[row], "cell": cells[at].astype("int32"), "ring": ring.astype("int32")})
+
+        return placed.select("key", "vec").mapInPandas(probe, "key string, vec binary, cell int, ring int")
+
     def known(self, placed: DataFrame) -> DataFrame:
-        """(key): those of ``placed(key, cell, ring)`` that are stored: matches at distance 0."""
-        # Row groups of other cells are not read; at most as many values as there are cells.
-        cells = [r.cell for r in placed.select("cell").distinct().collect()]
-        hit = self.stored().where(F.col("cell").isin(cells)).select("cell", "ring", "key")
-        here = storage.small_side(placed.select("cell", "ring", "key"), placed.count())
-        return hit.join(here, ["cell", "ring", "key"], "left_semi").select("key").distinct()
+        """(key): those of ``placed(key, vec)`` that are stored: of the vectors at exact distance 0 where
+        :meth:`probes` leads, those with the same key. Keys without a probe are new by the bounds alone."""
+        asked = storage.cut(self.probes(placed))
+        # Files and row groups of other cells are not read; at most as many values as there are cells.
+        cells = [r.cell for r in asked.select("cell").distinct().collect()]
+        here = storage.small_side(asked.withColumnRenamed("key", "asked"), asked.count())
+        # Whole vectors are compared: those at distance 0 are equal.
+        same = self.stored().where(F.col("cell").isin(cells)).join(here, ["cell", "ring", "vec"])
+        return same.where("key = asked").select("key").distinct()
 
     def nearest(self, queries: DataFrame) -> DataFrame:
         """(key, stored, distance): for every key of ``queries(key)`` the nearest stored one, the least
         of several. Exact: the bounds leave out cells only that hold nothing nearer. None if all is empty."""
-        spark, centroids = self.spark, self.centroids
-        by = self.stored().groupBy("cell").agg(F.count("*").alias("n"), F.min("ring").alias("lo"), F.max("ring").alias("hi")).collect()
-        cells = np.array([r.cell for r in by], int)
-        lo, hi = (np.array([getattr(r, f) + k for r in by], float) / RINGS_PER_UNIT for f, k in (("lo", 0), ("hi", 1)))
+        centroids, (cells, lo, hi) = self.centroids, self.bounds()
         q = storage.cut(self.placed(queries.select("key").distinct()))
 
         def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if not len(b) or not len(cells):
+            for b in steps(batches, len(centroids)):
+                if not len(cells):
                     continue
-                d = distances(np.frombuffer(b"".join(map(bytes, b["vec"])), np.uint8).reshape(-1, DIM), centroids)
-                near = d.min(1)
-                d = d[:, cells]
-                bound = np.maximum(np.maximum(d - hi, lo - d), (d - near[:, None]) / 2)
+                d = distances(vectors(b["vec"]), centroids)
+                near, d = d.min(1), d[:, cells]
+                bound = least(d, near, lo, hi)
                 # First round (no distance yet): the cell of the least bound; second: all others below it.
                 first = bound.argmin(1)
                 if "distance" in b:
@@ -208,11 +248,11 @@ class CellIndex:
             out = []
             if len(x) and len(y):
                 x = x.sort_values("key", kind="stable")
-                a = np.frombuffer(b"".join(map(bytes, x["vec"])), np.uint8).reshape(-1, DIM).astype(np.float32)
+                a = vectors(x["vec"]).astype(np.float32)
                 names, norm = x["key"].to_numpy(), (a * a).sum(1)
                 for at in range(0, len(y), 256):
                     part = y.iloc[at : at + 256]
-                    q = np.frombuffer(b"".join(map(bytes, part["vec"])), np.uint8).reshape(-1, DIM).astype(np.float32)
+                    q = vectors(part["vec"]).astype(np.float32)
                     # Whole numbers below 2^24 are exact in single precision.
                     d = norm[None, :] - 2 * (q @ a.T) + (q * q).sum(1)[:, None]
                     k = d.argmin(1)

@@ -269,6 +269,25 @@ def test_small_batches_share_a_reading_of_history(spark, monkeypatch):
     assert history.rounds({2: 50, None: 60, 1: 40}, 100) == [[None], [1], [2]]
 
 
+def test_known_compares_whole_vectors_where_bounds_lead(spark):
+    same = ["aaba", "abaa", "zz"]
+    assert (history.pair_counts([same[0]]) == history.pair_counts([same[1]])).all()
+    index = history.CellIndex.create(spark.createDataFrame([(k,) for k in [same[0], "zz", *map(str, range(50))]], "key string"), storage.scratch(spark, "t"), cells=4)
+    placed = index.placed(spark.createDataFrame([(k,) for k in [*same, "q" * 300]], "key string"))
+    # Keys of one vector are told apart by themselves; what no cell's bounds allow is never looked up.
+    assert {r.key for r in index.known(placed).collect()} == {same[0], "zz"}
+    assert "q" * 300 not in {r.key for r in index.probes(placed).collect()}
+    # A posting whose vector is another one is no match, whatever its key.
+    wrong = placed.where("key = 'abaa'").withColumn("vec", F.unhex(F.lit("00" * history.DIM)))
+    index.append(wrong.select("key", "cell", "ring", "vec"))
+    assert {r.key for r in index.known(placed).collect()} == {same[0], "zz"}
+    # Cell and ring don't depend on the rows placed along.
+    texts = [f"u:h{i % 7}.example/{i * i}" for i in range(300)]
+    v = history.pair_counts(texts)
+    c = history.fit_centroids(v, 9)
+    assert (history.distances(v, c) == np.vstack([history.distances(v[i : i + 1], c) for i in range(len(v))])).all()
+
+
 # p6
 def test_packing_places_each_once_and_never_overfills(spark):
     rng = random.Random(7)
