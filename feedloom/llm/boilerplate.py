@@ -51,6 +51,17 @@ NAVIGATION = r"( » | → |^← |^menu$)"
 #: Headers of repeated groups of teasers.
 TEASERS = r"^(keep reading|most read|you may also like|related posts|related articles|more from .{1,60}|popular this week|popular posts|read next|read more|recommended|trending)$"
 CUES = "|".join((CONSENT, SIGNUP, LEGAL, SOCIAL, ADVERT, AUTHOR, META, NAVIGATION))
+#: Every line that matches CUES holds one of these, so others, such as most paragraphs, need no search by patterns.
+CUE_PARTS = (
+    *("cookie", "consent", "tracker", "traceur", "in your browser", "asks for your permission", "data notice", "scripts are blocked", "on your device", "datenschutz"),
+    *("sign up", "sign in", "subscribe", "enter your email", "become a member for", "in your inbox", "leave the list", "manage preferences", "view in browser", "update profile", "log in", "create account", "you receive this because"),
+    *("©", "copyright #", "all rights reserved", "privacy", "terms", "legal", "imprint", "sitemap", "is published from", "made with care by", "advertise"),
+    *("share", "like (#)", "follow ", "copy link", "back to top", "leave a reply", "report a mistake", " comment", "f in x @"),
+    *("sponsored by", "anzeige", "publicidad", "publicité", "try it free", "save your seat", "reserve a place", "from the shop", "percent off", "poll: ", "free webinar", "not sure", "partner content", "brought to you by", "watch: #"),
+    *("written by", "about the author", " since #"),
+    *("min read", "listen to this article", "last updated", "published #", "by staff", "skip to content", "menu", "– front page"),
+    *(" » ", " → ", "← "),
+)
 #: Several short parts with separators and no sentence: a menu written in one line.
 MENU = r"^[\p{L}\p{N}&' -]{1,25}( ?[|·/•] ?[\p{L}\p{N}&' -]{1,25})+$|^\p{Lu}\p{L}+(  +\p{Lu}\p{L}+)+$"
 #: What teasers carry behind their titles.
@@ -58,13 +69,14 @@ TEASER_TAIL = r" ?(\(#+ comments?\)|· #+ min)$|…$|\.\.\.$"
 SENTENCE_END = r"[.!?:;][\"'”’)]*$"
 
 
-#: Lines longer than this are paragraphs: they match as wholes only, by a hash, and show no cues.
+#: Of lines longer than this, a hash and the words at both ends are shuffled instead of the text.
 LONGEST = 240
 
 
 def matched() -> Column:
-    """What a line is matched by: its key, of a long line a 64-bit hash of it, which shuffles as little."""
-    return F.when(F.col("long"), F.concat(F.lit("¶"), F.hex(F.xxhash64("key")))).otherwise(F.col("key"))
+    """What a line is matched by: its key, of a long line its two words at either end and a 64-bit hash of it."""
+    brief = F.concat_ws(" ", head("key"), F.concat(F.lit("¶"), F.hex(F.xxhash64("key"))), tail("key"))
+    return F.when(F.length("key") > LONGEST, brief).otherwise(F.col("key"))
 
 
 def distinct_pages(pages: DataFrame) -> DataFrame:
@@ -77,26 +89,25 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """(page, host, line_no, key, long, and what the line itself shows) of every non-blank line.
+    """(page, host, line_no, key, and what the line itself shows) of every non-blank line, however long.
 
     key is the line in lower case, white space collapsed, runs of digits as '#'.
     """
     rows = pages.select("page", "host", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
     rows = rows.withColumn("line", collapse("raw")).withColumn("key", F.regexp_replace(F.lower("line"), r"\d+", "#"))
-    short = F.length("key") <= LONGEST
-    yes = lambda c: short & c
-    cue, header = yes(F.col("key").rlike(CUES)), yes(F.col("key").rlike(TEASERS))
-    tailed, cut_off = yes(F.col("key").rlike(TEASER_TAIL)), F.col("key").rlike(r"(…|\.\.\.)$")
+    part = F.exists(F.array(*map(F.lit, CUE_PARTS)), lambda x: F.col("key").contains(x))
+    cue, header = part & F.col("key").rlike(CUES), F.col("key").rlike(TEASERS)
+    tailed, cut_off = F.col("key").rlike(TEASER_TAIL), F.col("key").rlike(r"(…|\.\.\.)$")
     ended = F.col("line").rlike(SENTENCE_END) & ~cut_off
-    menu = yes(F.col("line").rlike(r"[|·/•]") | F.col("raw").rlike(r"\S {2,}\S")) & F.trim("raw").rlike(MENU) & ~ended
+    menu = (F.col("line").rlike(r"[|·/•]") | F.col("raw").rlike(r"\S {2,}\S")) & F.trim("raw").rlike(MENU) & ~ended
     point = F.col("line").rlike(r"^([-*•]|\d+[.)]) ") | F.col("key").rlike(r"^(step|part) #") | F.col("key").rlike(r"^\S+( \S+){0,2}, \S+$")
-    return rows.select("page", "host", (F.col("at") + 1).alias("line_no"), "key", (~short).alias("long"), (cue | header | menu).alias("shown"), header.alias("header"), tailed.alias("tailed"), ended.alias("ended"), point.alias("point")).where("key <> ''")
+    return rows.select("page", "host", (F.col("at") + 1).alias("line_no"), "key", (cue | header | menu).alias("shown"), header.alias("header"), tailed.alias("tailed"), ended.alias("ended"), point.alias("point")).where("key <> ''")
 
 
 def aligned(lines: DataFrame) -> DataFrame:
     """(host, key, on, prose, head, tail): a host's lines, equal ones as one, and on how many lines of pages.
 
-    key is as of :func:`matched`; a long line is head and tail of its own, so it is in no slot.
+    key is as of :func:`matched`, head and tail are those of the line.
     A line that only one page has, however often, is on one. Sentences and list points are prose.
     """
     same = lines.withColumn("key", matched()).groupBy("host", "key").agg(F.count("*").alias("n"), (F.min("page") < F.max("page")).alias("several"), F.max(F.col("ended") | F.col("point")).alias("prose"))
@@ -132,7 +143,7 @@ def slotted(lines: DataFrame, same: DataFrame, size: DataFrame) -> DataFrame:
     likely = likely.join(starts, ["host", "head"]).where(F.col("on") >= SLOT_SHARE * F.col("all")).select(ends)
     mine = storage.cut(same.select("key", *ends).join(likely, ends))
     # A page may have several lines of one kind, so its pages are counted.
-    on = lines.where("NOT long").select("page", "host", "key").join(storage.small_side(mine, mine.count()), ["host", "key"])
+    on = lines.select("page", "host", matched().alias("key")).join(storage.small_side(mine, mine.count()), ["host", "key"])
     pages = on.groupBy(ends).agg(F.countDistinct("page").alias("on")).join(size, "host")
     sure = pages.where((F.col("on") >= LEAST_PAGES) & (F.col("on") >= LEAST_SHARE * F.col("pages"))).select(ends)
     return mine.join(sure, ends).select("host", "key")
@@ -145,17 +156,19 @@ def slots(lines: DataFrame) -> DataFrame:
 
 
 def head(key: str) -> Column:
-    return F.regexp_extract(key, r"^(\S+(?: \S+)?)", 1)
+    # Keys have single blanks, none at the ends.
+    return F.substring_index(key, " ", 2)
 
 
 def tail(key: str) -> Column:
-    return F.regexp_extract(key, r"(\S+(?: \S+)?)$", 1)
+    return F.substring_index(key, " ", -2)
 
 
 def sentences(lines: DataFrame) -> DataFrame:
-    """(host, key): the sentences of lines that hold several."""
+    """(host, key): the sentences of lines that hold several, as of :func:`matched`."""
     parts = F.split("key", r"(?<=[.!?]) +")
-    return lines.select("host", parts.alias("parts")).select("host", F.explode(F.when(F.size("parts") > 2, F.col("parts"))).alias("key"))
+    every = lines.select("host", parts.alias("parts")).select("host", F.explode(F.when(F.size("parts") > 2, F.col("parts"))).alias("key"))
+    return every.select("host", matched().alias("key"))
 
 
 def furniture(pages: DataFrame) -> DataFrame:
@@ -166,7 +179,7 @@ def furniture(pages: DataFrame) -> DataFrame:
     """
     lines = storage.cut(page_lines(pages))
     inv = invariants(lines).withColumn("invariant", F.lit(True))
-    own = lines.withColumn("key", matched()).join(storage.small_side(inv, inv.count()), ["host", "key"], "left").drop("host", "key", "long")
+    own = lines.withColumn("key", matched()).join(storage.small_side(inv, inv.count()), ["host", "key"], "left").drop("host", "key")
     # Only small columns are shuffled to bring each page's lines together.
     every = W.partitionBy("page")
     # A text of one line is no stream to align.

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -150,6 +151,39 @@ def test_long_notices_are_furniture(spark):
     assert len(notice) > boilerplate.LONGEST and Counter(map(tuple, out)) == Counter((f"p{i}", 1) for i in range(4))
 
 
+def test_long_lines_have_cues_and_slots(spark):
+    filler = "and the mill beside the long river has its own small paper " * 5
+    rows = []
+    for i, t in enumerate(["Oslo", "Bergen", "Lima", "Quito", "Turin", "Malmo"]):
+        # A slot between both ends of a long line, an article's long line, and once a long line with a cue.
+        lines = [f"Now brewing {filler}in {t} {filler}for our regulars only", f"The mill of {t} was closed early. Nobody from {t} minded that. {t} {filler}is calm."]
+        rows.append(("f", f"p{i}", "https://host.example/p/x", "\n".join(lines + [f"© 2020 Some Paper {filler}"] * (i == 0))))
+    pages = storage.cut(boilerplate.distinct_pages(spark.createDataFrame(rows, "field string, item_id string, url string, text string")))
+    out = boilerplate.furniture(pages).where("outside").join(pages, "page").select("item_id", "line_no").collect()
+    assert len(filler) > boilerplate.LONGEST and Counter(map(tuple, out)) == Counter([*((f"p{i}", 1) for i in range(6)), ("p0", 3)])
+
+
+def test_every_cue_holds_one_of_its_parts():
+    def texts(seq):
+        """Shortest texts that match, one for each way through the alternatives."""
+        out = [""]
+        for op, arg in seq:
+            if str(op) == "BRANCH":
+                own = [t for s in arg[1] for t in texts(s)]
+            elif str(op) == "SUBPATTERN":
+                own = texts(arg[3])
+            elif str(op) == "MAX_REPEAT":
+                own = [t * arg[0] for t in texts(arg[2])] if arg[0] else [""]
+            else:
+                own = [chr(arg) if str(op) == "LITERAL" else "" if str(op) == "AT" else "~"]
+            out = [a + b for a in out for b in dict.fromkeys(own)]
+        return out
+
+    cues = texts(re._parser.parse(boilerplate.CUES))
+    assert len(cues) > 100
+    assert [c for c in cues if not any(p in c for p in boilerplate.CUE_PARTS)] == []
+
+
 # p4
 def test_pivotal_keeps_sums_and_probabilities():
     p = np.array([0.2, 0.5, 0.9, 1.0, 0.0, 0.4] * 5)
